@@ -4,12 +4,12 @@ from __future__ import annotations
 
 
 def all_queries() -> dict:
-    from leadtide.catalog import basics
+    from leadtide.catalog import basics, reports
 
-    return {**basics.QUERIES}
+    return {**basics.QUERIES, **reports.QUERIES}
 
 
 def all_oracles() -> dict[str, str]:
-    from leadtide.catalog import oracles_basics
+    from leadtide.catalog import oracles_basics, oracles_reports
 
-    return {**oracles_basics.ORACLES}
+    return {**oracles_basics.ORACLES, **oracles_reports.ORACLES}

@@ -83,6 +83,8 @@ rolling AS (SELECT DISTINCT series_id, horizon, date_trunc('day', datetime) AS d
   FROM naive WHERE model = 'half_way' AND y IS NOT NULL AND split <> 'train'),
 drifted AS (SELECT r.*, baseline_rmse, rolling_rmse > 1.02e0 * baseline_rmse AS drifted FROM rolling r JOIN base USING (horizon))"""
 
+_BOXES = f"WITH {OBS_DAILY}, {CALENDAR} " + " UNION ALL ".join(_box(m) for m in ("temp", "humidity", "precip"))
+
 ORACLES = {
     "a4_predictions_table": q(NAIVE, f"{KEY}, {r('max(CASE WHEN horizon = 1 THEN y END)', 'target_t1')}, {r('max(CASE WHEN horizon = 1 THEN pred END)', 'pred_target_t1')}, {r('max(CASE WHEN horizon = 7 THEN y END)', 'target_t7')}, {r('max(CASE WHEN horizon = 7 THEN pred END)', 'pred_target_t7')}", "naive", f"WHERE model = 'half_way' AND split = 'test' GROUP BY {KEY}"),
     "a5_metrics_table": q(NAIVE, f"model, metric_type, horizon, {rs(METRIC_NAMES)}", "metrics"),
@@ -110,7 +112,8 @@ ORACLES = {
     "g7_density": DENSITY,
     "g8_overall_mean": q(OBS_DAILY, r("avg(temp)", "mean_temp"), "obs_daily"),
     "g8_mean_residual": q(NAIVE, f"model, horizon, {r('avg(y - pred)', 'mean_residual')}", "naive", "WHERE split = 'test' GROUP BY model, horizon"),
-    "g9_box_statistics": f"WITH {OBS_DAILY}, {CALENDAR} " + " UNION ALL ".join(_box(m) for m in ("temp", "humidity", "precip")),
+    "g9_box_statistics": _BOXES,
+    "g9_box_statistics_bracketed": _BOXES,
     "g9_outliers": f"WITH {OBS_DAILY}, {CALENDAR} SELECT c.season, datetime, {r('precip')} FROM cal c JOIN (SELECT season, quantile_cont(precip, 0.25) AS q1, quantile_cont(precip, 0.75) AS q3 FROM cal GROUP BY season) b ON b.season = c.season WHERE precip < q1 - 1.5e0 * (q3 - q1) OR precip > q3 + 1.5e0 * (q3 - q1)",
     "g10_lines": f"WITH {OBS_HOURLY} " + " UNION ALL ".join(_line(x, y) for x, y in (("temp", "precip"), ("solarradiation", "temp"), ("temp", "humidity"))),
     "g11_point_pairs": q(OBS_HOURLY, rs(["humidity", "windspeed"]), "obs_hourly", "WHERE humidity IS NOT NULL AND windspeed IS NOT NULL"),

@@ -146,13 +146,17 @@ def g8_mean_residual(spark: SparkSession, sf: str) -> DataFrame:
 MEASURES = ["temp", "humidity", "precip"]
 
 
-def g9_box_statistics(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded(explore.box_statistics(explore.with_calendar(worked.daily(spark, sf)[0]), MEASURES))
+def _box(small: bool):
+    def query(spark: SparkSession, sf: str) -> DataFrame:
+        df, layout = worked.daily(spark, sf)
+        return rounded(explore.box_statistics(explore.with_calendar(df), MEASURES, at_most=layout.rows if small else None))
+
+    return query
 
 
 def g9_outliers(spark: SparkSession, sf: str) -> DataFrame:
-    df = explore.with_calendar(worked.daily(spark, sf)[0])
-    return rounded(explore.outliers(df, "precip", keep=["datetime"]))
+    df, layout = worked.daily(spark, sf)
+    return rounded(explore.outliers(explore.with_calendar(df), "precip", keep=["datetime"], at_most=layout.rows))
 
 
 def g10_lines(spark: SparkSession, sf: str) -> DataFrame:
@@ -361,7 +365,8 @@ QUERIES = {
     "g7_density": g7_density,
     "g8_overall_mean": g8_overall_mean,
     "g8_mean_residual": g8_mean_residual,
-    "g9_box_statistics": g9_box_statistics,
+    "g9_box_statistics": _box(True),
+    "g9_box_statistics_bracketed": _box(False),
     "g9_outliers": g9_outliers,
     "g10_lines": g10_lines,
     "g11_point_pairs": g11_point_pairs,

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 def horizon_of(name: Column, unit: str = "row") -> Column:
     """The horizon in a name such as ``target_t24``; with unit ``hour`` it is turned into days."""
-    steps = F.regexp_extract(name, r"_t(\d+)$", 1).cast("int")
+    steps = F.substring_index(name, "_t", -1).cast("int")
     if unit == "hour":
         return steps / F.lit(24.0)
     return steps

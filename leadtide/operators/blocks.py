@@ -36,7 +36,10 @@ _BEFORE, _AFTER, _START, _TOTAL = "_before", "_after", "_block_start", "_series_
 
 @dataclass(frozen=True)
 class SeriesLayout:
-    """How the rows of one frame are cut. ``spans`` and ``cells`` are None when nothing is cut."""
+    """How the rows of one frame are cut. ``spans`` and ``cells`` are None when nothing is cut.
+
+    ``rows`` is an upper bound for the number of rows of the frame.
+    """
 
     keys: tuple[str, ...] = KEYS
     time: str = TIME
@@ -44,6 +47,7 @@ class SeriesLayout:
     spans: DataFrame | None = None
     cells: DataFrame | None = None
     broadcast_cells: bool = True
+    rows: int | None = None
 
     @property
     def blocked(self) -> bool:
@@ -77,9 +81,8 @@ def lay_out(
     The layout holds for exactly these rows: lay out the frame that is windowed.
     """
     keys = tuple(keys)
-    plain = SeriesLayout(keys, time, block_rows)
     if at_most is not None and at_most <= block_rows:
-        return plain
+        return SeriesLayout(keys, time, block_rows, rows=at_most)
 
     sizes = df.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n"),
@@ -88,7 +91,7 @@ def lay_out(
     )
     seen = sizes.agg(F.sum("n").alias("total"), F.max("n").alias("longest")).first()
     if not seen["longest"] or seen["longest"] <= block_rows:
-        return plain
+        return SeriesLayout(keys, time, block_rows, rows=seen["total"] or 0)
 
     # At most MAX_BLOCKS blocks in all, hence at most that many long series and a bounded lookup.
     rows = max(block_rows, math.ceil(seen["total"] / MAX_BLOCKS))
@@ -143,7 +146,7 @@ def lay_out(
             F.sum("n").over(Window.partitionBy(*keys)).alias(_TOTAL),
         )
     )
-    return SeriesLayout(keys, time, rows, spans, cells, cells.count() <= BROADCAST_ROWS)
+    return SeriesLayout(keys, time, rows, spans, cells, cells.count() <= BROADCAST_ROWS, seen["total"])
 
 
 def _with_cell(df: DataFrame, spans: DataFrame, keys: Sequence[str], time: str) -> DataFrame:

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from itertools import combinations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -32,18 +31,23 @@ def mean_by_season(df: DataFrame, column: str = TARGET) -> DataFrame:
 def correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Correlation of every pair of columns in long form; a pair uses the rows where both are known.
 
-    All pairs are aggregates of one pass; the mirrored half is copied afterwards.
+    A row meets the fixed list of column pairs in its own task, which adds each pair up at once:
+    the shuffle has one row per pair and task. The mirrored half is copied afterwards.
     """
-    pairs = list(combinations(range(len(columns)), 2))
-    wide = df.agg(
-        *[F.corr(columns[i], columns[j]).alias(f"c{i}_{j}") for i, j in pairs],
-        *[F.corr(c, c).alias(f"c{i}_{i}") for i, c in enumerate(columns)],
+    index = range(len(columns))
+    pairs = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in index for j in index[i:]])
+    values, names = F.array(*[F.col(c).cast("double") for c in columns]), F.array(*[F.lit(c) for c in columns])
+    half = (
+        df.select(values.alias("v"), F.inline(pairs))
+        .select("i", "j", F.col("v")[F.col("i")].alias("x"), F.col("v")[F.col("j")].alias("y"))
+        .groupBy("i", "j")
+        .agg(F.corr("x", "y").alias("corr"))
+    )
+    i, j = F.col("i"), F.col("j")
+    both = F.when(i == j, F.array(F.struct(i, j))).otherwise(F.array(F.struct(i, j), F.struct(j.alias("i"), i.alias("j"))))
+    return half.select(F.explode(both).alias("p"), "corr").select(
+        names[F.col("p.i")].alias("a"), names[F.col("p.j")].alias("b"), "corr"
     )
-    cells = []
-    for i, a in enumerate(columns):
-        for j, b in enumerate(columns):
-            cells.append(F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(f"c{min(i, j)}_{max(i, j)}").alias("corr")))
-    return wide.select(F.inline(F.array(*cells)))
 
 
 def histogram(df: DataFrame, column: str = TARGET, bins: int = 30) -> DataFrame:
@@ -70,31 +74,33 @@ def histogram(df: DataFrame, column: str = TARGET, bins: int = 30) -> DataFrame:
 def density(df: DataFrame, column: str = TARGET, points: int = 200) -> DataFrame:
     """Gaussian kernel density on a grid from minimum to maximum, bandwidth n^(-1/5) * deviation.
 
-    Equal values are counted once before they meet the fixed grid, and partial sums per grid
-    point leave each task, so the shuffle has ``points`` rows per task.
+    A value meets the fixed grid in its own task, which adds up each grid point: the shuffle has
+    ``points`` rows per task.
     """
     x = F.col(column)
     s = df.agg(F.min(x).alias("lo"), F.max(x).alias("hi"), F.count(x).alias("n"), F.stddev_samp(x).alias("sd")).first()
     bw = s["n"] ** -0.2 * s["sd"]
     step = (s["hi"] - s["lo"]) / (points - 1)
-    weights = df.where(x.isNotNull()).groupBy(x.alias("x")).agg(F.count(F.lit(1)).alias("m"))
+    known = df.where(x.isNotNull()).select(x.alias("x"))
     at = F.lit(s["lo"]) + F.col("point") * F.lit(step)
     z = (at - F.col("x")) / F.lit(bw)
     norm = s["n"] * bw * 2.5066282746310002
     return (
-        weights.withColumn("point", F.explode(F.sequence(F.lit(0), F.lit(points - 1))))
+        known.withColumn("point", F.explode(F.sequence(F.lit(0), F.lit(points - 1))))
         .groupBy("point")
-        .agg((F.sum(F.col("m") * F.exp(-0.5 * z * z)) / F.lit(norm)).alias("density"))
+        .agg((F.sum(F.exp(-0.5 * z * z)) / F.lit(norm)).alias("density"))
         .select("point", at.alias("x"), "density")
     )
 
 
-def box_statistics(df: DataFrame, columns: Sequence[str], by: str = "season") -> DataFrame:
+def box_statistics(
+    df: DataFrame, columns: Sequence[str], by: str = "season", at_most: int | None = None
+) -> DataFrame:
     """Quartiles, whiskers (extreme values within 1.5 spreads of the box) and outlier counts.
 
     ``by`` has few values (seasons), so the box table is a bounded broadcast.
     """
-    q = quartiles_wide(df, columns, [by])
+    q = quartiles_wide(df, columns, [by], at_most)
     with_box = df.select(by, *columns).join(F.broadcast(q), by)
     aggs = []
     for c in columns:
@@ -115,9 +121,11 @@ def box_statistics(df: DataFrame, columns: Sequence[str], by: str = "season") ->
     return wide.select(by, F.inline(F.array(*rows)))
 
 
-def outliers(df: DataFrame, column: str, by: str = "season", keep: Sequence[str] = ()) -> DataFrame:
+def outliers(
+    df: DataFrame, column: str, by: str = "season", keep: Sequence[str] = (), at_most: int | None = None
+) -> DataFrame:
     """The rows beyond the whiskers."""
-    q = quartiles_wide(df, [column], [by])
+    q = quartiles_wide(df, [column], [by], at_most)
     x, q1, q3 = F.col(column), F.col(f"{column}_q25"), F.col(f"{column}_q75")
     reach = 1.5 * (q3 - q1)
     joined = df.select(by, column, *keep).join(F.broadcast(q), by)

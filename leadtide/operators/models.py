@@ -12,10 +12,11 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import (
     DecisionTreeRegressor, GBTRegressor, LinearRegression, RandomForestRegressor,
 )
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from leadtide.config import DEFAULT_ALPHA, DEFAULT_L1_RATIO, PATIENCE, pred_name, target_name
+from leadtide.operators.sums import one_label, product_sums, solve_many
 
 FEATURES = "features"
 
@@ -90,6 +91,74 @@ def fit_linear_per_horizon(
     return dict(zip(params, side_by_side([job(h, p) for h, p in params.items()], threads)))
 
 
+def horizons_by_rows(df: DataFrame, horizons: Sequence[int]) -> list[list[int]]:
+    """Horizons in groups with the same known rows; each group needs one pass only.
+
+    Targets are missing at the end of a series, in the test part, so for the rows before it this
+    is mostly one group.
+    """
+    known = {h: F.col(target_name(h)).isNotNull() for h in horizons}
+    every = F.lit(True)
+    for k in known.values():
+        every = every & k
+    row = df.agg(
+        F.count_if(every).alias("every"), *[F.count_if(k).alias(f"n{h}") for h, k in known.items()]
+    ).first()
+    shared = [h for h in horizons if row[f"n{h}"] == row["every"]]
+    return ([shared] if shared else []) + [[h] for h in horizons if h not in shared]
+
+
+@dataclass(frozen=True)
+class LinearModel:
+    """A fitted line of one horizon."""
+
+    intercept: float
+    weights: tuple[float, ...]
+
+
+def fit_linear_by_sums(
+    df: DataFrame, columns: Sequence[str], params: dict[int, LinearParams]
+) -> dict[int, LinearModel]:
+    """Linear models of all horizons from one pass over the data.
+
+    The sums that reach the driver are one matrix as wide as columns and labels together.
+    """
+    fitted: dict[int, LinearModel] = {}
+    for group in horizons_by_rows(df, list(params)):
+        sums, centre = product_sums(df, columns, [target_name(h) for h in group])
+        row = sums.first()
+        for i, h in enumerate(group):
+            p = params[h]
+            b0, w = solve_many(one_label(row["sums"], len(group), i), [p.kind], [p.alpha], [p.l1_ratio])
+            fitted[h] = LinearModel(float(b0[0]) + centre[i], tuple(w[:, 0].tolist()))
+    return {h: fitted[h] for h in params}
+
+
+def as_linear_model(model: Model | LinearModel) -> LinearModel:
+    if isinstance(model, LinearModel):
+        return model
+    return LinearModel(float(model.intercept), tuple(model.coefficients.toArray().tolist()))
+
+
+def linear_model_rows(spark: SparkSession, models: dict[int, LinearModel], columns: Sequence[str]) -> DataFrame:
+    """Fitted lines as a small table: horizon, name (or ``intercept``), weight."""
+    rows = []
+    for h, m in models.items():
+        rows += [(h, "intercept", m.intercept), *[(h, c, w) for c, w in zip(columns, m.weights)]]
+    return spark.createDataFrame(rows, "horizon int, name string, weight double")
+
+
+def linear_models_from_rows(table: DataFrame) -> tuple[dict[int, LinearModel], list[str]]:
+    """The inverse of ``linear_model_rows``; a row per horizon and feature reaches the driver."""
+    found: dict[int, dict[str, float]] = {}
+    for r in table.collect():
+        found.setdefault(r["horizon"], {})[r["name"]] = r["weight"]
+    columns = sorted({n for w in found.values() for n in w} - {"intercept"})
+    return {
+        h: LinearModel(w["intercept"], tuple(w.get(c, 0.0) for c in columns)) for h, w in sorted(found.items())
+    }, columns
+
+
 def linear_prediction(intercept: float, weights: Sequence[float], columns: Sequence[str]) -> Column:
     """The dot product as a plain expression."""
     out = F.lit(float(intercept))
@@ -98,13 +167,11 @@ def linear_prediction(intercept: float, weights: Sequence[float], columns: Seque
     return out
 
 
-def score_linear(df: DataFrame, models: dict[int, Model], columns: Sequence[str]) -> DataFrame:
+def score_linear(df: DataFrame, models: dict[int, Model | LinearModel], columns: Sequence[str]) -> DataFrame:
     """Predictions of all horizons in one projection, without vectors or Python."""
+    lines = {h: as_linear_model(m) for h, m in models.items()}
     return df.withColumns(
-        {
-            pred_name(h): linear_prediction(m.intercept, m.coefficients.toArray(), columns)
-            for h, m in models.items()
-        }
+        {pred_name(h): linear_prediction(m.intercept, m.weights, columns) for h, m in lines.items()}
     )
 
 

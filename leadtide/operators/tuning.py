@@ -1,9 +1,8 @@
 """Search over model parameters on purged expanding folds.
 
 The linear family needs no pass over the data per trial: sums of products per fold part hold all
-that a fit and its validation error depend on. One job collects the sums in every task with
-Arrow batches, one small shuffle adds them up, and the trials are then solved as Spark tasks over
-a grid of (horizon, fold, trial), each a system as small as the number of features.
+that a fit and its validation error depend on. The trials are then solved as Spark tasks over a
+grid of (horizon, fold), each a system as small as the number of features.
 """
 
 from __future__ import annotations
@@ -17,11 +16,13 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from leadtide.config import ALPHA_RANGE, FOLDS, FeatureSpec, L1_RATIO_RANGE, LINEAR_MODELS, target_name
+from leadtide.config import ALPHA_RANGE, FOLDS, L1_RATIO_RANGE, LINEAR_MODELS, FeatureSpec, target_name
 from leadtide.operators.blocks import BLOCK_ROWS, lay_out
 from leadtide.operators.features import build_features
+from leadtide.operators.models import horizons_by_rows
 from leadtide.operators.scaling import scale_per_group
 from leadtide.operators.splits import assign_folds
+from leadtide.operators.sums import one_label, product_sums, solve_many, squared_errors
 from leadtide.session import cut_lineage
 
 
@@ -95,109 +96,15 @@ def fold_features(
     front = {*layout.keys, layout.time, "fold", "role", *targets}
     columns = [c for c in ready.columns if c not in front]
     ready = ready.persist(StorageLevel.MEMORY_AND_DISK)  # read by the scaler, twice, and by the sums
-    return scale_per_group(ready, columns, ["fold"], F.col("role") == "train"), columns
+    copies = None if layout.rows is None else layout.rows * folds
+    return scale_per_group(ready, columns, ["fold"], F.col("role") == "train", copies), columns
 
 
-def horizons_by_rows(df: DataFrame, horizons: Sequence[int]) -> list[list[int]]:
-    """Horizons in groups that know the same rows of train + val; each group needs one pass only.
-
-    Targets are missing at the end of a series, in the test part, so this is mostly one group.
-    """
-    known = {h: F.col(target_name(h)).isNotNull() for h in horizons}
-    every = F.lit(True)
-    for k in known.values():
-        every = every & k
-    row = df.where(F.col("split") != "test").agg(
-        F.count_if(every).alias("every"), *[F.count_if(k).alias(f"n{h}") for h, k in known.items()]
-    ).first()
-    shared = [h for h in horizons if row[f"n{h}"] == row["every"]]
-    return ([shared] if shared else []) + [[h] for h in horizons if h not in shared]
-
-
-# Sums of products
-
-
-def fold_sums(
-    df: DataFrame, columns: Sequence[str], labels: Sequence[str], by: Sequence[str] = ("fold", "role")
-) -> DataFrame:
-    """Per group the matrix of sums of products of (1, features, labels - centre), as one array.
-
-    Labels are centred on a common mean so that the sums keep their precision; the centre is an
-    arbitrary constant, errors do not depend on it.
-    """
-    by = list(by)
-    centre = df.agg(F.avg(labels[0])).first()[0] or 0.0
-    keys = [f"cast(`{b}` AS string) AS `{b}`" for b in by]
-    source = df.dropna("any", subset=list(labels)).selectExpr(
-        *keys, *[f"`{c}`" for c in columns], *[f"`{y}` - {centre!r}D AS `{y}`" for y in labels]
-    )
-    schema = ", ".join([*[f"`{b}` string" for b in by], "sums array<double>"])
-
-    def add_up(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total: dict[tuple, np.ndarray] = {}  # one small matrix per fold part
-        for pdf in batches:
-            for key, part in pdf.groupby(by, sort=False):
-                x = part.drop(columns=by).to_numpy(dtype=float)
-                x = np.hstack([np.ones((len(x), 1)), x])
-                m = x.T @ x
-                total[key] = total[key] + m if key in total else m
-        yield pd.DataFrame([(*key, m.ravel()) for key, m in total.items()], columns=[*by, "sums"])
-
-    partial = source.mapInPandas(add_up, schema)
-    return (
-        partial.select(*by, F.posexplode("sums").alias("i", "s"))
-        .groupBy(*by, "i")
-        .agg(F.sum("s").alias("s"))
-        .groupBy(*by)
-        .agg(F.transform(F.sort_array(F.collect_list(F.struct("i", "s"))), lambda e: e["s"]).alias("sums"))
-    )
-
-
-def solve_linear(m: np.ndarray, kind: str, alpha: float, l1_ratio: float) -> tuple[float, np.ndarray]:
-    """Intercept and weights from the sums of products of one training part."""
-    n, p = m[0, 0], m.shape[0] - 2
-    mean = m[0, 1:] / n
-    c = m[1:, 1:] - n * np.outer(mean, mean)
-    a, b = c[:p, :p], c[:p, p]
-    if kind == "LinearRegression":
-        w = np.linalg.lstsq(a, b, rcond=1e-12)[0]
-    elif kind == "Ridge":
-        w = np.linalg.solve(a + alpha * np.eye(p), b)
-    else:
-        mix = 1.0 if kind == "Lasso" else l1_ratio
-        w = _shrink(a / n, b / n, alpha * mix, alpha * (1 - mix))
-    return float(mean[p] - mean[:p] @ w), w
-
-
-def _shrink(a: np.ndarray, b: np.ndarray, l1: float, l2: float, rounds: int = 2000, tol: float = 1e-9) -> np.ndarray:
-    """Coordinate descent on w'aw/2 - b'w + l1 |w| + l2 w'w/2."""
-    w, grad = np.zeros(len(b)), b.copy()
-    scale = np.diag(a) + l2
-    for _ in range(rounds):
-        moved = 0.0
-        for j in range(len(b)):
-            if scale[j] <= 0:
-                continue
-            r = grad[j] + a[j, j] * w[j]
-            new = np.sign(r) * max(abs(r) - l1, 0.0) / scale[j]
-            step = new - w[j]
-            if step:
-                grad -= a[:, j] * step
-                w[j] = new
-                moved = max(moved, abs(step))
-        if moved <= tol * max(1.0, np.abs(w).max()):
-            break
-    return w
-
-
-def squared_error(m: np.ndarray, intercept: float, w: np.ndarray) -> float:
-    """Sum of squared errors on the rows behind ``m``."""
-    v = np.concatenate([[-intercept], -w, [1.0]])
-    return max(float(v @ m @ v), 0.0)
+# Trials
 
 
 def score_trials(sums: DataFrame, trials: DataFrame) -> DataFrame:
-    """Validation RMSE per (horizon, fold, trial), solved in parallel over that grid.
+    """Validation RMSE per (horizon, fold, trial), solved in parallel per horizon and fold.
 
     ``sums`` has one row per (horizon, fold, role) with ``label``, the position of the label of
     the horizon, and ``labels``, their number; ``trials`` has one row per (horizon, trial).
@@ -207,22 +114,22 @@ def score_trials(sums: DataFrame, trials: DataFrame) -> DataFrame:
         F.first(F.when(role == "train", F.col("sums")), ignorenulls=True).alias("train"),
         F.first(F.when(role == "val", F.col("sums")), ignorenulls=True).alias("val"),
     ).where(F.col("train").isNotNull() & F.col("val").isNotNull())
-    # Bounded broadcast: horizons x folds rows, each a matrix as wide as the features.
-    grid = trials.repartition("horizon", "trial").join(F.broadcast(parts), "horizon")
+    sets = trials.groupBy("horizon").agg(
+        F.collect_list(F.struct("trial", "kind", "alpha", "l1_ratio")).alias("sets")  # n_trials entries
+    )
+    grid = parts.join(sets, "horizon").repartition("horizon", "fold")
 
     def solve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            out = []
             for r in pdf.itertuples(index=False):
-                k = int(round(len(r.train) ** 0.5))
-                keep = [*range(k - r.labels), k - r.labels + r.label]
-                fit = np.asarray(r.train).reshape(k, k)[np.ix_(keep, keep)]
-                val = np.asarray(r.val).reshape(k, k)[np.ix_(keep, keep)]
-                alpha = 0.0 if pd.isna(r.alpha) else r.alpha
-                ratio = 0.0 if pd.isna(r.l1_ratio) else r.l1_ratio
-                b0, w = solve_linear(fit, r.kind, alpha, ratio)
-                out.append((r.horizon, r.fold, r.trial, (squared_error(val, b0, w) / val[0, 0]) ** 0.5))
-            yield pd.DataFrame(out, columns=["horizon", "fold", "trial", "rmse"])
+                fit, val = (one_label(s, r.labels, r.label) for s in (r.train, r.val))
+                kinds = [s["kind"] for s in r.sets]
+                alphas, ratios = ([s[k] or 0.0 for s in r.sets] for k in ("alpha", "l1_ratio"))
+                errors = squared_errors(val, *solve_many(fit, kinds, alphas, ratios))
+                yield pd.DataFrame({
+                    "horizon": r.horizon, "fold": r.fold, "trial": [s["trial"] for s in r.sets],
+                    "rmse": np.sqrt(errors / val[0, 0]),
+                })
 
     return grid.mapInPandas(solve, "horizon int, fold int, trial int, rmse double")
 
@@ -244,11 +151,11 @@ def search_linear(
     horizons; the sums are cut from their lineage, as all trials read them.
     """
     found = []
-    for group in horizons_by_rows(df, horizons):
+    for group in horizons_by_rows(df.where(F.col("split") != "test"), horizons):
         labels = [target_name(h) for h in group]
         ready, columns = fold_features(df, spec, labels, gap, folds, block_rows, at_most)
         which = F.explode(F.array(*[F.struct(F.lit(h).alias("horizon"), F.lit(i).alias("label")) for i, h in enumerate(group)]))
-        sums = fold_sums(ready, columns, labels).withColumn("_h", which)
+        sums = product_sums(ready, columns, labels, ["fold", "role"])[0].withColumn("_h", which)
         found.append(sums.select("_h.*", F.lit(len(group)).alias("labels"), F.col("fold").cast("int"), "role", "sums"))
     all_sums = found[0]
     for sums in found[1:]:

@@ -15,7 +15,7 @@ from leadtide.operators.blocks import BLOCK_ROWS, SeriesLayout, lay_out
 from leadtide.operators.evaluate import evaluate, to_long
 from leadtide.operators.features import build_features
 from leadtide.operators.models import (
-    FEATURES, LinearParams, assemble, decision_tree, fit_boosted_with_stop, fit_linear_per_horizon,
+    FEATURES, LinearModel, LinearParams, assemble, decision_tree, fit_boosted_with_stop, fit_linear_by_sums,
     label_statistics, linear_estimator, random_forest, score_linear, side_by_side,
 )
 from leadtide.operators.report import rank_benchmark
@@ -33,7 +33,7 @@ def prepare(df: DataFrame, layout: SeriesLayout, horizons: Sequence[int]) -> Dat
 class Trained:
     columns: list[str]
     scaler: dict[str, tuple[float, float]]
-    models: dict[int, Model]
+    models: dict[int, Model | LinearModel]
 
 
 def split_features(
@@ -49,13 +49,12 @@ def split_features(
 
 
 def train(
-    ready: DataFrame, columns: Sequence[str], params: dict[int, LinearParams], threads: int = 4
+    ready: DataFrame, columns: Sequence[str], params: dict[int, LinearParams], at_most: int | None = None
 ) -> Trained:
     """Scaler and one linear model per horizon on the fit part. ``ready`` should be persisted."""
     fit = ready.where(F.col("part") == "fit")
-    scaler = fit_robust_scaler(fit, columns)
-    models = fit_linear_per_horizon(apply_robust_scaler(fit, scaler), columns, params, threads)
-    return Trained(list(columns), scaler, models)
+    scaler = fit_robust_scaler(fit, columns, at_most)
+    return Trained(list(columns), scaler, fit_linear_by_sums(apply_robust_scaler(fit, scaler), columns, params))
 
 
 def score(ready: DataFrame, trained: Trained) -> DataFrame:
@@ -67,13 +66,12 @@ def forecast_metrics(
     layout: SeriesLayout,
     spec: FeatureSpec,
     params: dict[int, LinearParams],
-    threads: int = 4,
 ) -> tuple[DataFrame, DataFrame, Trained]:
     """Prepare, train, score, evaluate. Returns long predictions, metrics and the models."""
     horizons = list(params)
     ready, columns = split_features(prepare(df, layout, horizons), layout, spec, horizons)
     ready = ready.persist(StorageLevel.MEMORY_AND_DISK)
-    trained = train(ready, columns, params, threads)
+    trained = train(ready, columns, params, layout.rows)
     long = to_long(score(ready, trained), horizons, [*layout.keys, layout.time, "split"])
     kind = F.when(F.col("split") == "test", "Test").otherwise("Train")
     metrics = evaluate(long.where(F.col("y").isNotNull()).withColumn("metric_type", kind), ["metric_type", "horizon"])
@@ -97,7 +95,7 @@ def bake_off_table(
     ready = build_features(known, layout, spec, scope=["split"], keep=[y])
     columns = [c for c in ready.columns if c not in {*layout.keys, layout.time, "split", y}]
     ready = ready.persist(StorageLevel.MEMORY_AND_DISK)
-    scaler = fit_robust_scaler(ready.where(F.col("split") == "train"), columns)
+    scaler = fit_robust_scaler(ready.where(F.col("split") == "train"), columns, layout.rows)
     return apply_robust_scaler(ready, scaler), columns
 
 

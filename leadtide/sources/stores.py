@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 PREDICTIONS = "series_id string, datetime timestamp_ntz, horizon int, y double, pred double"
 METRICS = "model string, metric_type string, horizon int, rmse double, mae double, r2 double, mape double"
+LINES = "horizon int, name string, weight double"
 PARAMETERS = "model string, horizon int, name string, value string"
 
 

@@ -67,10 +67,10 @@ def label_statistics(df: DataFrame, labels: Sequence[str]) -> dict[str, tuple[in
     return {y: (row[f"n_{y}"], row[f"s_{y}"] or 0.0) for y in labels}
 
 
-def side_by_side(jobs: Sequence[Callable[[], object]], threads: int = 4) -> list:
+def side_by_side(spark: SparkSession, jobs: Sequence[Callable[[], object]], threads: int = 4) -> list:
     """Submit independent Spark jobs from a few driver threads; each job runs on the executors."""
     with ThreadPoolExecutor(max_workers=threads) as pool:
-        return [f.result() for f in [pool.submit(inheritable_thread_target(j)) for j in jobs]]
+        return [f.result() for f in [pool.submit(inheritable_thread_target(spark)(j)) for j in jobs]]
 
 
 def fit_linear_per_horizon(
@@ -88,7 +88,7 @@ def fit_linear_per_horizon(
         n, s = stats[y]
         return lambda: linear_estimator(p, y, n, s).fit(ready.where(F.col(y).isNotNull()).select(FEATURES, y))
 
-    return dict(zip(params, side_by_side([job(h, p) for h, p in params.items()], threads)))
+    return dict(zip(params, side_by_side(df.sparkSession, [job(h, p) for h, p in params.items()], threads)))
 
 
 def horizons_by_rows(df: DataFrame, horizons: Sequence[int]) -> list[list[int]]:

@@ -88,30 +88,56 @@ def solve_many(
 
 
 def _shrink(
-    a: np.ndarray, b: np.ndarray, l1: np.ndarray, l2: np.ndarray, rounds: int = 2000, tol: float = 1e-8
+    a: np.ndarray, b: np.ndarray, l1: np.ndarray, l2: np.ndarray, rounds: int = 100, sweeps: int = 20, tol: float = 1e-9
 ) -> np.ndarray:
-    """Coordinate descent on w'aw/2 - b'w + l1 |w| + l2 w'w/2, for all penalties side by side."""
+    """Minimize w'aw/2 - b'w + l1 |w| + l2 w'w/2, for all penalties side by side.
+
+    Sweeps of coordinate descent find which weights are zero; given those, the rest is a linear
+    system, whose solution is taken once it meets the optimality conditions.
+    """
     p, t = len(b), len(l1)
     w, grad = np.zeros((p, t)), np.repeat(b[:, None], t, axis=1)
-    open_ = np.arange(t)
+    todo = np.arange(t)
     for _ in range(rounds):
-        moved = np.zeros(len(open_))
-        g, u = grad[:, open_], w[:, open_]
-        for j in range(p):
-            scale = a[j, j] + l2[open_]
-            r = g[j] + a[j, j] * u[j]
-            new = np.where(scale > 0, np.sign(r) * np.maximum(np.abs(r) - l1[open_], 0.0) / np.where(scale > 0, scale, 1.0), 0.0)
-            step = new - u[j]
-            g -= np.outer(a[:, j], step)
-            u[j] = new
-            moved = np.maximum(moved, np.abs(step) * np.sqrt(a[j, j]))
-        grad[:, open_], w[:, open_] = g, u
-        open_ = open_[moved > tol * max(1.0, float(np.sqrt(np.abs(b).max())))]
-        if not len(open_):
+        g, u, lo, ridge = grad[:, todo], w[:, todo], l1[todo], l2[todo]
+        for _ in range(sweeps):
+            moved = np.zeros(len(todo))
+            for j in range(p):
+                scale = a[j, j] + ridge
+                r = g[j] + a[j, j] * u[j]
+                new = np.sign(r) * np.maximum(np.abs(r) - lo, 0.0) / np.where(scale > 0, scale, np.inf)
+                step = new - u[j]
+                g -= a[:, j][:, None] * step
+                u[j] = new
+                np.maximum(moved, np.abs(step) * np.sqrt(a[j, j]), out=moved)
+        grad[:, todo], w[:, todo] = g, u
+        still = []
+        for k, i in enumerate(todo):
+            exact = None if moved[k] <= tol else _given_signs(a, b, l1[i], l2[i], w[:, i])
+            if exact is not None:
+                w[:, i] = exact
+            elif moved[k] > tol:
+                still.append(i)
+        todo = np.asarray(still, dtype=int)
+        if not len(todo):
             break
     return w
 
 
+def _given_signs(a: np.ndarray, b: np.ndarray, l1: float, l2: float, w: np.ndarray) -> np.ndarray | None:
+    """The optimum if the signs of ``w`` are those of the optimum, else None."""
+    on = w != 0
+    sign = np.sign(w[on])
+    out = np.zeros_like(w)
+    try:
+        out[on] = np.linalg.solve(a[np.ix_(on, on)] + l2 * np.eye(on.sum()), b[on] - l1 * sign)
+    except np.linalg.LinAlgError:
+        return None
+    slope = np.abs(b - a @ out)
+    right = (np.sign(out[on]) == sign).all() and (slope[~on] <= l1 * (1 + 1e-9) + 1e-12).all()
+    return out if right else None
+
+
 def squared_errors(m: np.ndarray, intercepts: np.ndarray, w: np.ndarray) -> np.ndarray:
     """Sum of squared errors of each parameter set on the rows behind ``m``."""
     v = np.vstack([-intercepts[None, :], -w, np.ones((1, w.shape[1]))])

@@ -26,6 +26,9 @@ from leadtide.operators.sums import one_label, product_sums, solve_many, squared
 from leadtide.session import cut_lineage
 
 
+CHUNKS = 4
+
+
 # Drawing parameters
 
 
@@ -114,10 +117,13 @@ def score_trials(sums: DataFrame, trials: DataFrame) -> DataFrame:
         F.first(F.when(role == "train", F.col("sums")), ignorenulls=True).alias("train"),
         F.first(F.when(role == "val", F.col("sums")), ignorenulls=True).alias("val"),
     ).where(F.col("train").isNotNull() & F.col("val").isNotNull())
-    sets = trials.groupBy("horizon").agg(
-        F.collect_list(F.struct("trial", "kind", "alpha", "l1_ratio")).alias("sets")  # n_trials entries
+    # Trials of a horizon are dealt into CHUNKS bundles, solved side by side; a set number of
+    # partitions keeps these small but slow rows from being put into one task.
+    sets = trials.groupBy("horizon", (F.col("trial") % CHUNKS).alias("chunk")).agg(
+        F.collect_list(F.struct("trial", "kind", "alpha", "l1_ratio")).alias("sets")
     )
-    grid = parts.join(sets, "horizon").repartition("horizon", "fold")
+    tasks = max(sums.sparkSession.sparkContext.defaultParallelism, 1)
+    grid = parts.join(sets, "horizon").repartition(tasks, "horizon", "fold", "chunk")
 
     def solve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:

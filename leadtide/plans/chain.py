@@ -131,7 +131,7 @@ def bake_off(
         "BoostedTreesDepth5": lambda: boosted(5),
         "BoostedTreesDepth6": lambda: boosted(6),
     }
-    models = dict(zip(jobs, side_by_side(list(jobs.values()), threads)))
+    models = dict(zip(jobs, side_by_side(table.sparkSession, list(jobs.values()), threads)))
     scored = data
     for name, m in models.items():
         scored = m.copy({m.getParam("predictionCol"): f"p_{name}"}).transform(scored)

@@ -56,6 +56,11 @@ class SeriesLayout:
     def partition(self, scope: Sequence[str] = ()) -> list[str]:
         return [*self.keys, *scope, *([BLOCK] if self.blocked else [])]
 
+    def over(self, frame: str, scope: Sequence[str] = ()) -> str:
+        """The same window as SQL text, for expressions over many columns."""
+        keys = ", ".join(f"`{k}`" for k in self.partition(scope))
+        return f"OVER (PARTITION BY {keys} ORDER BY `{self.time}` ROWS BETWEEN {frame})"
+
     def window(self, scope: Sequence[str] = ()) -> WindowSpec:
         return Window.partitionBy(*self.partition(scope)).orderBy(self.time)
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, WindowSpec
+from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import functions as F
 
 from leadtide.config import TARGET, target_name
@@ -102,45 +102,38 @@ def fill_inside(
     fill is the first known value of the whole run; no frame that looks ahead row by row is needed.
     """
     df = only_home(df, layout)
-    w = layout.window(scope)
-    so_far = w.rowsBetween(Window.unboundedPreceding, 0)
-    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    rest = [] if last_resort is None else [F.lit(last_resort)]
+    so_far = layout.over("UNBOUNDED PRECEDING AND CURRENT ROW", scope)
+    whole = layout.over("UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING", scope)
+    rest = "" if last_resort is None else f", {float(last_resort)!r}D"
     if not layout.blocked:
-        return df.withColumns(
-            {
-                c: F.coalesce(
-                    F.last(c, ignorenulls=True).over(so_far),
-                    F.first(c, ignorenulls=True).over(whole),
-                    *rest,
-                )
-                for c in columns
-            }
+        return _replace(
+            df,
+            {c: f"coalesce(last(`{c}`) IGNORE NULLS {so_far}, first(`{c}`) IGNORE NULLS {whole}{rest})" for c in columns},
         )
 
     # Long series: per block the first and last known value, carried from block to block. That
-    # table has one row per block and scope, so its windows and its broadcast stay small.
+    # table has one row per block and scope, so its windows stay small.
     run = [*layout.keys, *scope]
     ends = df.groupBy(*run, BLOCK).agg(
-        *[F.expr(f"max_by(`{c}`, `{layout.time}`) FILTER (WHERE `{c}` IS NOT NULL)").alias(f"_last_{c}")
-          for c in columns],
-        *[F.expr(f"min_by(`{c}`, `{layout.time}`) FILTER (WHERE `{c}` IS NOT NULL)").alias(f"_first_{c}")
-          for c in columns],
+        *[F.expr(f"{f}_by(`{c}`, `{layout.time}`) FILTER (WHERE `{c}` IS NOT NULL) AS `_{name}_{c}`")
+          for c in columns for f, name in (("max", "last"), ("min", "first"))]
     )
-    by_block = Window.partitionBy(*run).orderBy(BLOCK)
-    earlier = by_block.rowsBetween(Window.unboundedPreceding, -1)
-    all_blocks = by_block.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    carried = ends.select(
-        *run,
+    keys = ", ".join(f"`{k}`" for k in run)
+    by_block = f"OVER (PARTITION BY {keys} ORDER BY {BLOCK} ROWS BETWEEN"
+    carried = ends.selectExpr(
+        *[f"`{k}`" for k in run],
         BLOCK,
-        *[F.last(f"_last_{c}", ignorenulls=True).over(earlier).alias(f"_in_{c}") for c in columns],
-        *[F.first(f"_first_{c}", ignorenulls=True).over(all_blocks).alias(f"_head_{c}") for c in columns],
+        *[f"last(`_last_{c}`) IGNORE NULLS {by_block} UNBOUNDED PRECEDING AND 1 PRECEDING) AS `_in_{c}`" for c in columns],
+        *[f"first(`_first_{c}`) IGNORE NULLS {by_block} UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS `_head_{c}`" for c in columns],
     )
-    return (
-        df.withColumns({c: F.last(c, ignorenulls=True).over(so_far) for c in columns})
-        .join(carried, [*run, BLOCK], "left")
-        .withColumns(
-            {c: F.coalesce(F.col(c), F.col(f"_in_{c}"), F.col(f"_head_{c}"), *rest) for c in columns}
-        )
-        .drop(*[f"_in_{c}" for c in columns], *[f"_head_{c}" for c in columns])
+    names = df.columns
+    local = _replace(df, {c: f"last(`{c}`) IGNORE NULLS {so_far}" for c in columns})
+    joined = local.join(carried, [*run, BLOCK], "left")
+    return _replace(
+        joined, {c: f"coalesce(`{c}`, `_in_{c}`, `_head_{c}`{rest})" for c in columns}, names
     )
+
+
+def _replace(df: DataFrame, texts: dict[str, str], names: Sequence[str] | None = None) -> DataFrame:
+    """``df`` (or its columns ``names``) with some columns replaced by SQL expressions."""
+    return df.selectExpr(*[f"{texts[c]} AS `{c}`" if c in texts else f"`{c}`" for c in names or df.columns])

@@ -19,6 +19,7 @@ def local_session(app: str = "leadtide", cores: str = "*", partitions: int = 8)
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.driver.memory", "12g")
         .config("spark.ui.enabled", "false")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()
     )
 

@@ -8,73 +8,62 @@ from pyspark.sql import functions as F
 from leadtide.sources.observations import read_observations
 
 
-def _sun_columns(time: str) -> dict:
-    day = F.min(time).cast("date").cast("string")
-    minute = F.lpad(F.dayofmonth(F.min(time)).cast("string"), 2, "0")
+def _sun(time: str) -> dict[str, str]:
+    day = f"CAST(CAST(min({time}) AS DATE) AS STRING)"
     return {
-        "sunrise": F.when(F.count(F.lit(1)) % 5 == 0, "n/a").otherwise(F.concat(day, F.lit(" 05:30:00"))),
-        "sunset": F.concat(day, F.lit(" 18:"), minute, F.lit(":00")),
+        "sunrise": f"CASE WHEN count(*) % 5 = 0 THEN 'n/a' ELSE concat({day}, ' 05:30:00') END",
+        "sunset": f"concat({day}, ' 18:', lpad(CAST(day(min({time})) AS STRING), 2, '0'), ':00')",
     }
 
 
+def _aggregate(df: DataFrame, keys: list[str], columns: dict[str, str]) -> DataFrame:
+    return df.groupBy(*[F.expr(k) for k in keys]).agg(*[F.expr(f"{e} AS {n}") for n, e in columns.items()])
+
+
 def obs_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Five hourly series, one per event type."""
     events = read_observations(spark, f"{sf_dir}/events.parquet")
-    hour = F.make_timestamp_ntz(
-        F.year("ts"), F.month("ts"), F.dayofmonth("ts"), F.hour("ts"), F.lit(0), F.lit(0)
-    )
-    rows = F.count(F.lit(1))
-    value = F.col("value")
-    aggregates = {
-        "temp": F.avg(value),
-        "tempmax": F.max(value),
-        "tempmin": F.min(value),
-        "dew": F.avg(value) - 0.1 * rows,
-        "humidity": F.countDistinct("user_id").cast("double"),
-        "sealevelpressure": 1000.0 + F.avg((F.col("event_id") % 50).cast("double")),
-        "cloudcover": 100.0 * F.avg(F.when(value > 50, 1.0).otherwise(0.0)),
-        "solarradiation": F.sum(value),
-        "solarenergy": 0.0864 * F.sum(value),
-        "visibility": F.max(F.col("user_id") % 17).cast("double"),
-        "windspeed": F.when(rows > 1, F.stddev_samp(value)),
-        "windgust": F.max(value) - F.min(value),
-        "precip": F.coalesce(F.sum(F.when(value > 150, value)), F.lit(0.0)),
-        **_sun_columns("ts"),
-    }
-    return events.groupBy(F.col("event_type").alias("series_id"), hour.alias("datetime")).agg(
-        *[c.alias(n) for n, c in aggregates.items()]
+    hour = "make_timestamp_ntz(year(ts), month(ts), day(ts), hour(ts), 0, 0)"
+    return _aggregate(
+        events,
+        ["event_type AS series_id", f"{hour} AS datetime"],
+        {
+            "temp": "avg(value)", "tempmax": "max(value)", "tempmin": "min(value)",
+            "dew": "avg(value) - 0.1D * count(*)",
+            "humidity": "CAST(count(DISTINCT user_id) AS DOUBLE)",
+            "sealevelpressure": "1000D + avg(CAST(event_id % 50 AS DOUBLE))",
+            "cloudcover": "100D * avg(CASE WHEN value > 50 THEN 1D ELSE 0D END)",
+            "solarradiation": "sum(value)", "solarenergy": "0.0864D * sum(value)",
+            "visibility": "CAST(max(user_id % 17) AS DOUBLE)",
+            "windspeed": "CASE WHEN count(*) > 1 THEN stddev_samp(value) END",
+            "windgust": "max(value) - min(value)",
+            "precip": "coalesce(sum(CASE WHEN value > 150 THEN value END), 0D)",
+            **_sun("ts"),
+        },
     )
 
 
 def obs_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One daily series over all order lines."""
     lines = read_observations(spark, f"{sf_dir}/lineitem.parquet")
-    day = F.col("l_shipdate").cast("date").cast("timestamp_ntz")
-    rows = F.count(F.lit(1))
-    quantity, price = F.col("l_quantity"), F.col("l_extendedprice")
-    aggregates = {
-        "temp": F.avg(quantity),
-        "tempmax": F.max(quantity),
-        "tempmin": F.min(quantity),
-        "dew": F.avg(quantity) - 100.0 * F.avg("l_tax"),
-        "humidity": 1000.0 * F.avg("l_discount"),
-        "sealevelpressure": 1000.0 + F.avg((F.col("l_partkey") % 50).cast("double")),
-        "cloudcover": 100.0 * F.avg(F.when(F.col("l_returnflag") == "A", 1.0).otherwise(0.0)),
-        "solarradiation": F.avg(price),
-        "solarenergy": 0.0864 * F.avg(price),
-        "visibility": F.max(F.col("l_suppkey") % 17).cast("double"),
-        "windspeed": F.when(rows > 20, F.stddev_samp(quantity)),
-        "windgust": F.max(quantity) - F.min(quantity),
-        "precip": F.coalesce(
-            F.sum(F.when((quantity > 49) & (F.col("l_returnflag") == "R"), F.col("l_tax"))), F.lit(0.0)
-        ),
-        **_sun_columns("l_shipdate"),
-    }
-    return (
-        lines.groupBy(day.alias("datetime"))
-        .agg(*[c.alias(n) for n, c in aggregates.items()])
-        .select(F.lit("all").alias("series_id"), "*")
+    days = _aggregate(
+        lines,
+        ["CAST(CAST(l_shipdate AS DATE) AS TIMESTAMP_NTZ) AS datetime"],
+        {
+            "temp": "avg(l_quantity)", "tempmax": "max(l_quantity)", "tempmin": "min(l_quantity)",
+            "dew": "avg(l_quantity) - 100D * avg(l_tax)",
+            "humidity": "1000D * avg(l_discount)",
+            "sealevelpressure": "1000D + avg(CAST(l_partkey % 50 AS DOUBLE))",
+            "cloudcover": "100D * avg(CASE WHEN l_returnflag = 'A' THEN 1D ELSE 0D END)",
+            "solarradiation": "avg(l_extendedprice)", "solarenergy": "0.0864D * avg(l_extendedprice)",
+            "visibility": "CAST(max(l_suppkey % 17) AS DOUBLE)",
+            "windspeed": "CASE WHEN count(*) > 20 THEN stddev_samp(l_quantity) END",
+            "windgust": "max(l_quantity) - min(l_quantity)",
+            "precip": "coalesce(sum(CASE WHEN l_quantity > 49 AND l_returnflag = 'R' THEN l_tax END), 0D)",
+            **_sun("l_shipdate"),
+        },
     )
+    return days.selectExpr("'all' AS series_id", "*")
 
 
 def at_most_rows(spark: SparkSession, sf_dir: str, table: str) -> int:

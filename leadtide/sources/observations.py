@@ -44,8 +44,12 @@ def read_observations(
 
 def nan_to_null(df: DataFrame) -> DataFrame:
     """Aggregates and windows skip NULL but not NaN, so missing is NULL everywhere."""
-    floats = [f.name for f in df.schema if isinstance(f.dataType, (T.DoubleType, T.FloatType))]
-    return df.withColumns({c: F.when(~F.isnan(c), F.col(c)) for c in floats})
+    floats = {f.name for f in df.schema if isinstance(f.dataType, (T.DoubleType, T.FloatType))}
+    if not floats:
+        return df
+    return df.selectExpr(
+        *[f"nullif(`{c}`, double('NaN')) AS `{c}`" if c in floats else f"`{c}`" for c in df.columns]
+    )
 
 
 def parse_time(df: DataFrame, column: str = TIME) -> DataFrame:

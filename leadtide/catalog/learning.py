@@ -21,7 +21,7 @@ from leadtide.operators.models import (
 from leadtide.operators.report import best_trial
 from leadtide.operators.scaling import apply_robust_scaler, fit_robust_scaler, robust_constants, scale_per_group
 from leadtide.operators.tuning import draw_linear, draw_trees, search_linear
-from leadtide.plans.chain import bake_off, bake_off_table, forecast_metrics, split_features
+from leadtide.plans.chain import bake_off, bake_off_table, forecast_metrics, prepared_features
 from leadtide.session import scratch_table
 from leadtide.sources.adapters import at_most_rows
 from leadtide.sources.stores import LINES, load_models, read_table, save_models, write_table
@@ -116,8 +116,8 @@ def a7_saved_models(spark: SparkSession, sf: str) -> DataFrame:
     """Models saved per horizon, loaded again and used."""
     from pyspark.ml import PipelineModel
 
-    df, layout = worked.split_daily(spark, sf)
-    ready, columns = split_features(df, layout, DAILY, (1, 7))
+    df, layout = worked.daily(spark, sf)
+    ready, columns = prepared_features(df, layout, DAILY, (1, 7))
     ready = ready.persist()
     fit = ready.where(F.col("part") == "fit")
     scaler = fit_robust_scaler(fit, columns, layout.rows)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from leadtide.config import DAILY, DAILY_HORIZONS, HOURLY, target_name
 from leadtide.operators.blocks import SeriesLayout, lay_out
 from leadtide.operators.evaluate import evaluate
-from leadtide.operators.features import build_features
+from leadtide.operators.features import targets_and_features
 from leadtide.operators.splits import split_by_time
 from leadtide.operators.windows import lead_targets, trailing_mean
 from leadtide.operators.blocks import over_series
@@ -50,12 +50,8 @@ def fit_part() -> dict:
 
 def feature_table(spark: SparkSession, sf: str, variant: str = "hourly", block_rows: int | None = None) -> DataFrame:
     """Features with targets, windows restarting between the fit and the test part."""
-    df, layout = (split_hourly if variant == "hourly" else split_daily)(spark, sf, block_rows)
-    spec = HOURLY if variant == "hourly" else DAILY
-    targets = [target_name(h) for h in HORIZONS]
-    return build_features(
-        df.withColumns(fit_part()), layout, spec, scope=["part"], keep=["split", "temp", *targets]
-    )
+    df, layout = (hourly if variant == "hourly" else daily)(spark, sf, block_rows)
+    return targets_and_features(df, layout, HOURLY if variant == "hourly" else DAILY, HORIZONS, ["temp"])
 
 
 def naive_forecasts(spark: SparkSession, sf: str) -> DataFrame:

@@ -32,6 +32,7 @@ BROADCAST_ROWS = 2_000_000
 BLOCK, HOME = "_block", "_home"
 _CELL, _T0, _WIDTH = "_cell", "_t0", "_width"
 _BEFORE, _AFTER, _START, _TOTAL = "_before", "_after", "_block_start", "_series_rows"
+_EARLIER = "_from_earlier"
 
 
 @dataclass(frozen=True)
@@ -53,6 +54,11 @@ class SeriesLayout:
     def blocked(self) -> bool:
         return self.cells is not None
 
+    @property
+    def helpers(self) -> list[str]:
+        """Columns of a frame that has its blocks, until ``leave`` drops them."""
+        return [BLOCK, HOME, _EARLIER, _START, _TOTAL] if self.blocked else []
+
     def partition(self, scope: Sequence[str] = ()) -> list[str]:
         return [*self.keys, *scope, *([BLOCK] if self.blocked else [])]
 
@@ -188,6 +194,7 @@ def enter(df: DataFrame, layout: SeriesLayout, back: int = 0, ahead: int = 0) ->
         tagged.withColumn("_origin", home)
         .withColumn(BLOCK, F.explode(goes_to))
         .withColumn(HOME, F.col(BLOCK) == F.col("_origin"))
+        .withColumn(_EARLIER, F.col("_origin") < F.col(BLOCK))
         .drop("_origin", _CELL, _BEFORE, _AFTER)
     )
 
@@ -200,7 +207,7 @@ def leave(df: DataFrame, layout: SeriesLayout) -> DataFrame:
     """Drop copied rows and helper columns."""
     if not layout.blocked:
         return df
-    return df.where(HOME).drop(BLOCK, HOME, _START, _TOTAL)
+    return df.where(HOME).drop(*layout.helpers)
 
 
 def over_series(
@@ -222,16 +229,17 @@ def over_series(
 
 def row_index(df: DataFrame, layout: SeriesLayout, idx: str = "idx", n: str | None = None) -> DataFrame:
     """Position of each row in its series, from 0, and if asked the length of the series."""
-    wide = enter(df, layout)
+    return leave(index_inside(enter(df, layout), layout, idx, n), layout)
+
+
+def index_inside(df: DataFrame, layout: SeriesLayout, idx: str = "idx", n: str | None = None) -> DataFrame:
+    """``row_index`` for a frame that has its blocks already; copied rows get their position too."""
     local = F.row_number().over(layout.window()) - 1
+    whole = Window.partitionBy(*layout.partition())
     if not layout.blocked:
-        out = wide.withColumn(idx, local.cast("long"))
-        if n:
-            out = out.withColumn(n, F.count(F.lit(1)).over(Window.partitionBy(*layout.keys)))
-        return out
-    out = wide.withColumn(idx, (F.coalesce(F.col(_START), F.lit(0)) + local).cast("long"))
-    if n:
-        # uncut series sit in block 0 as a whole, so their length is the size of that block
-        whole = F.count(F.lit(1)).over(Window.partitionBy(*layout.keys, BLOCK))
-        out = out.withColumn(n, F.coalesce(F.col(_TOTAL), whole))
-    return leave(out, layout)
+        out = df.withColumn(idx, local.cast("long"))
+        return out.withColumn(n, F.count(F.lit(1)).over(whole)) if n else out
+    start = F.coalesce(F.max(F.when(F.col(HOME), F.col(_START))).over(whole), F.lit(0))
+    out = df.withColumn(idx, (start + local - F.count_if(F.col(_EARLIER)).over(whole)).cast("long"))
+    # uncut series sit in block 0 as a whole, so their length is the size of that block
+    return out.withColumn(n, F.coalesce(F.col(_TOTAL), F.count(F.lit(1)).over(whole))) if n else out

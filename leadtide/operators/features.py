@@ -11,12 +11,13 @@ from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame, WindowSpec
 from pyspark.sql import functions as F
 
-from leadtide.config import DAILY, HOURLY, TIME, FeatureSpec
+from leadtide.config import DAILY, HOURLY, TIME, FeatureSpec, target_name
 from leadtide.functions.calendar import hour_cycle, year_cycle
 from leadtide.functions.weather import row_features
 from leadtide.operators.blocks import SeriesLayout, enter, lay_out, leave, over_series
+from leadtide.operators.splits import split_inside
 from leadtide.operators.windows import (
-    difference, fill_gaps, fill_inside, lagged, trailing_mean, trailing_sum,
+    difference, fill_gaps, fill_inside, lagged, targets_inside, trailing_mean, trailing_sum,
 )
 
 SPECS = {s.name: s for s in (DAILY, HOURLY)}
@@ -63,13 +64,35 @@ def build_features(
     Returns keys, time, ``scope``, ``keep`` and the final feature columns without gaps.
     """
     wide = enter(row_features(time_features(df, spec)), layout, back=spec.rows_back)
+    return leave(features_inside(wide, layout, spec, scope, keep), layout)
+
+
+def features_inside(
+    wide: DataFrame, layout: SeriesLayout, spec: FeatureSpec, scope: Sequence[str], keep: Sequence[str]
+) -> DataFrame:
+    """Window features, fills and column choice for a frame that has its blocks already."""
     wide = window_features(wide, layout.window(scope), spec)
     columns = final_columns(wide.columns, spec)
-    filled = leave(fill_inside(wide, layout, columns, scope), layout)
-    front = dict.fromkeys([*layout.keys, layout.time, *scope, *keep])
+    filled = fill_inside(wide, layout, columns, scope)
+    front = dict.fromkeys([*layout.keys, layout.time, *scope, *keep, *layout.helpers])
     return filled.select(*[c for c in front if c not in columns], *columns)
 
 
+def targets_and_features(
+    df: DataFrame, layout: SeriesLayout, spec: FeatureSpec, horizons: Sequence[int], keep: Sequence[str] = ()
+) -> DataFrame:
+    """Targets over the whole series, split labels, and features that restart at the test part.
+
+    Everything a training and a scoring job read, from one shuffle of the observations: ``part``
+    is ``fit`` for train and val, which are one run, and ``test`` for the rest.
+    """
+    wide = enter(row_features(time_features(df, spec)), layout, back=spec.rows_back, ahead=max(horizons))
+    wide = split_inside(targets_inside(wide, layout.window(), horizons), layout)
+    wide = wide.withColumn("part", F.when(F.col("split") == "test", "test").otherwise("fit"))
+    targets = [target_name(h) for h in horizons]
+    return leave(features_inside(wide, layout, spec, ["part"], ["split", *keep, *targets]), layout)
+
+
 # ML stages: the same steps for users who want a fitted, savable pipeline.
 
 

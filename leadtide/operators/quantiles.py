@@ -81,27 +81,35 @@ def exact_quantiles(
     by, probs = list(by), sorted(probs)
     if at_most is not None and at_most <= IN_ONE_BUFFER:
         return _in_one_buffer(df, columns, probs, by)
-    keys = [f"`{b}`" for b in by] or ["1 AS _all"]
-    named = [f"`{b}`" for b in by] or ["_all"]
+    keys = by or ["_all"]
+    named = [f"`{k}`" for k in keys]
     doubles = [f"CAST(`{c}` AS DOUBLE) AS `{c}`" for c in columns]
-    data = df.selectExpr(*keys, *doubles)
-    sketch = (
-        data.groupBy(*[n.strip("`") for n in named])
-        .agg(*[F.expr(e) for e in _sketches(columns, probs)])
-        .selectExpr(*named, *[_brackets(c, probs) for c in columns])
-    )
-    # Bounded broadcast: one row per fold or season (or one in all), 2 * len(probs) numbers per column.
-    near = data.join(F.broadcast(sketch), [n.strip("`") for n in named])
+    data = df.selectExpr(*([f"`{b}`" for b in by] or ["1 AS _all"]), *doubles)
+    sketches = [F.expr(e) for e in _sketches(columns, probs)]
+    if by:
+        # Bounded broadcast: one row per fold or season, 2 * len(probs) numbers per column.
+        brackets = data.groupBy(*by).agg(*sketches).selectExpr(*named, *[_brackets(c, probs) for c in columns])
+        near = data.join(F.broadcast(brackets), by)
+    else:
+        row = data.agg(*sketches).selectExpr(*[_brackets(c, probs) for c in columns]).first()  # one row
+        found = {c: row[f"_b_{c}"] for c in columns if row[f"_b_{c}"][0] is not None}
+        if not found:
+            return df.sparkSession.createDataFrame([], "feature string, n bigint, quantiles array<double>")
+        columns = list(found)
+        near = data.selectExpr(
+            "_all", *[f"`{c}`" for c in columns],
+            *[f"array({', '.join(f'double({str(x)!r})' for x in b)}) AS `_b_{c}`" for c, b in found.items()],
+        )
     places = ", ".join(_place(c, len(probs)) for c in columns)
     front = ", ".join(named)
     counted = (
         near.selectExpr(*named, f"inline(array_compact(array({places})))")
-        .groupBy(*[n.strip("`") for n in named], "feature", "cell", "v")
+        .groupBy(*keys, "feature", "cell", "v")
         .agg(F.count(F.lit(1)).alias("m"))
     )
     # Ranks at which the cells of a column start: a few thousand rows per group and column.
     cells = (
-        counted.groupBy(*[n.strip("`") for n in named], "feature", "cell")
+        counted.groupBy(*keys, "feature", "cell")
         .agg(F.sum("m").alias("size"))
         .selectExpr(
             *named, "feature", "cell", f"sum(size) OVER (PARTITION BY {front}, feature) AS n",
@@ -115,14 +123,14 @@ def exact_quantiles(
     wanted = " OR ".join(f"(start <= {k} AND {k} < stop)" for k in ranks.values())
     # Only values of the few cells that hold a wanted rank are put in order: at most two cells
     # per quantile, so the other side of this join is tiny.
-    on = [n.strip("`") for n in named] + ["feature", "cell"]
+    on = [*keys, "feature", "cell"]
     hit = counted.join(F.broadcast(cells.where(wanted)), on)
     ranked = hit.selectExpr(
         *named, "feature", "v", "n", "m",
         f"start + sum(m) OVER (PARTITION BY {front}, feature, cell ORDER BY v ROWS UNBOUNDED PRECEDING) AS end",
     )
     picks = [F.expr(f"max(CASE WHEN end - m <= {k} AND {k} < end THEN v END) AS {name}") for name, k in ranks.items()]
-    found = ranked.groupBy(*[n.strip("`") for n in named], "feature", "n").agg(*picks)
+    found = ranked.groupBy(*keys, "feature", "n").agg(*picks)
     values = ", ".join(
         f"CASE WHEN lo{i} IS NULL OR hi{i} IS NULL THEN CAST(raise_error('quantile outside its bracket') AS DOUBLE) "
         f"ELSE lo{i} + (hi{i} - lo{i}) * ({p!r}D * (n - 1) - floor({p!r}D * (n - 1))) END"

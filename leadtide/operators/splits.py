@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from leadtide.config import FOLDS, KEYS, TIME, TRAIN_RATIO, VAL_RATIO
-from leadtide.operators.blocks import SeriesLayout, row_index
+from leadtide.operators.blocks import SeriesLayout, enter, index_inside, leave, row_index
 
 
 def split_label(idx: Column, n: Column, train: float = TRAIN_RATIO, val: float = VAL_RATIO) -> Column:
@@ -25,7 +25,14 @@ def split_by_time(
     val: float = VAL_RATIO,
 ) -> DataFrame:
     """Add ``split``: per series the first 70 % of rows train, the next 15 % val, the rest test."""
-    placed = row_index(df, layout, "_idx", "_n")
+    return leave(split_inside(enter(df, layout), layout, train, val), layout)
+
+
+def split_inside(
+    df: DataFrame, layout: SeriesLayout, train: float = TRAIN_RATIO, val: float = VAL_RATIO
+) -> DataFrame:
+    """``split_by_time`` for a frame that has its blocks already (see ``enter``)."""
+    placed = index_inside(df, layout, "_idx", "_n")
     return placed.withColumn("split", split_label(F.col("_idx"), F.col("_n"), train, val)).drop("_idx", "_n")
 
 

@@ -15,12 +15,11 @@ def lead_targets(
     df: DataFrame, layout: SeriesLayout, horizons: Sequence[int], column: str = TARGET
 ) -> DataFrame:
     """One ``target_t<h>`` per horizon: the value ``h`` rows later, NULL at the end of a series."""
-    return over_series(
-        df,
-        layout,
-        lambda d, w: d.withColumns({target_name(h): F.lead(column, h).over(w) for h in horizons}),
-        ahead=max(horizons),
-    )
+    return over_series(df, layout, lambda d, w: targets_inside(d, w, horizons, column), ahead=max(horizons))
+
+
+def targets_inside(df: DataFrame, w: WindowSpec, horizons: Sequence[int], column: str = TARGET) -> DataFrame:
+    return df.withColumns({target_name(h): F.lead(column, h).over(w) for h in horizons})
 
 
 def difference(column: str, w: WindowSpec) -> Column:

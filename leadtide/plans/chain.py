@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from leadtide.config import FeatureSpec, PATIENCE, target_name
 from leadtide.operators.blocks import BLOCK_ROWS, SeriesLayout, lay_out
 from leadtide.operators.evaluate import evaluate, to_long
-from leadtide.operators.features import build_features
+from leadtide.operators.features import build_features, targets_and_features
 from leadtide.operators.models import (
     FEATURES, LinearModel, LinearParams, assemble, decision_tree, fit_boosted_with_stop, fit_linear_by_sums,
     label_statistics, linear_estimator, random_forest, score_linear, side_by_side,
@@ -36,15 +36,12 @@ class Trained:
     models: dict[int, Model | LinearModel]
 
 
-def split_features(
+def prepared_features(
     df: DataFrame, layout: SeriesLayout, spec: FeatureSpec, horizons: Sequence[int]
 ) -> tuple[DataFrame, list[str]]:
-    """Features of train + val as one run and of test as another, with all targets."""
-    targets = [target_name(h) for h in horizons]
-    parted = df.withColumn("part", F.when(F.col("split") == "test", "test").otherwise("fit"))
-    keep = ["split", *targets]
-    ready = build_features(parted, layout, spec, scope=["part"], keep=keep)
-    front = {*layout.keys, layout.time, "part", *keep}
+    """Targets, split and features of observations, and the names of the feature columns."""
+    ready = targets_and_features(df, layout, spec, horizons)
+    front = {*layout.keys, layout.time, "part", "split", *[target_name(h) for h in horizons]}
     return ready, [c for c in ready.columns if c not in front]
 
 
@@ -69,7 +66,7 @@ def forecast_metrics(
 ) -> tuple[DataFrame, DataFrame, Trained]:
     """Prepare, train, score, evaluate. Returns long predictions, metrics and the models."""
     horizons = list(params)
-    ready, columns = split_features(prepare(df, layout, horizons), layout, spec, horizons)
+    ready, columns = prepared_features(df, layout, spec, horizons)
     ready = ready.persist(StorageLevel.MEMORY_AND_DISK)
     trained = train(ready, columns, params, layout.rows)
     long = to_long(score(ready, trained), horizons, [*layout.keys, layout.time, "split"])

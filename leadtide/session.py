@@ -35,6 +35,8 @@ def shared_folder(spark: SparkSession) -> str:
     known = spark.sparkContext.getCheckpointDir()
     if known:
         return os.path.dirname(known.rstrip("/"))
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     own = tempfile.mkdtemp(prefix="leadtide-")
     spark.sparkContext.setCheckpointDir(own)
     return own

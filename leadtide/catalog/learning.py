@@ -15,12 +15,12 @@ from leadtide.config import (
 from leadtide.operators.evaluate import evaluate, to_long
 from leadtide.operators.features import feature_pipeline
 from leadtide.operators.models import (
-    LinearParams, assemble, boosted_trees, decision_tree, fit_boosted_with_stop, fit_linear_by_sums,
+    LinearParams, assemble, boosted_trees, decision_tree, fit_boosted_per_horizon, fit_boosted_with_stop, fit_linear_by_sums,
     fit_linear_per_horizon, label_statistics, linear_estimator, linear_model_rows, linear_models_from_rows, random_forest, score_linear, score_models,
 )
 from leadtide.operators.report import best_trial
 from leadtide.operators.scaling import apply_robust_scaler, fit_robust_scaler, robust_constants, scale_per_group
-from leadtide.operators.tuning import draw_linear, draw_trees, search_linear
+from leadtide.operators.tuning import draw_linear, draw_trees, search_linear, search_trees
 from leadtide.plans.chain import bake_off, bake_off_table, forecast_metrics, prepared_features
 from leadtide.session import scratch_table
 from leadtide.sources.adapters import at_most_rows
@@ -66,7 +66,7 @@ def m17_scale_per_fold(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(scale_per_group(data, FOLD_COLUMNS, ["fold"], F.col("role") == "train", rows))
 
 
-def m1_ml_pipeline(spark: SparkSession, sf: str) -> DataFrame:
+def m1_ml_stages(spark: SparkSession, sf: str) -> DataFrame:
     """The ML stages give the same features as the direct job."""
     df, _ = worked.split_daily(spark, sf)
     parted = df.withColumns(worked.fit_part())
@@ -158,6 +158,15 @@ def _tree(estimator):
     return query
 
 
+def m11_trees_per_horizon(spark: SparkSession, sf: str) -> DataFrame:
+    ready = worked.feature_table(spark, sf, "hourly").persist()
+    models = fit_boosted_per_horizon(
+        ready.where(F.col("part") == "fit"), TREE_COLUMNS, {h: {"n_estimators": 8, "max_depth": 3} for h in (1, 7)}
+    )
+    long = to_long(score_models(ready, models, TREE_COLUMNS), (1, 7), ["split"])
+    return rounded(evaluate(long.where(F.col("y").isNotNull()), ["split", "horizon"]))
+
+
 def m10_early_stopping(spark: SparkSession, sf: str) -> DataFrame:
     data, fit = _tree_data(spark, sf)
     val = data.where(F.col("split") == "val")
@@ -182,6 +191,13 @@ def m15_linear_search(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(best_trial(trials))
 
 
+def m15_tree_search(spark: SparkSession, sf: str) -> DataFrame:
+    """Trials of boosted trees with early stopping on purged folds of the daily series."""
+    df, _ = worked.split_daily(spark, sf)
+    rows = at_most_rows(spark, sf, "lineitem")
+    return rounded(search_trees(df, DAILY, (1,), 7, 2, TREE_RANGES, max_rounds=6, patience=2, at_most=rows))
+
+
 def m16_draw_linear(spark: SparkSession, sf: str) -> DataFrame:
     """Trials for one study per series."""
     studies = worked.hourly(spark, sf)[0].select("series_id").distinct()
@@ -200,7 +216,7 @@ QUERIES = {
     "m2_robust_scale": m2_robust_scale,
     "m17_fold_constants": m17_fold_constants,
     "m17_scale_per_fold": m17_scale_per_fold,
-    "m1_ml_pipeline": m1_ml_pipeline,
+    "m1_ml_stages": m1_ml_stages,
     "m3_ols_one_input": _one_input("LinearRegression"),
     "m4_ridge_one_input": _one_input("Ridge", 5000.0),
     "m5_lasso_one_input": _one_input("Lasso", 7.5),
@@ -209,6 +225,7 @@ QUERIES = {
     "m8_random_forest": _tree(lambda: random_forest("target_t1", trees=30)),
     "m9_boosted_trees": _tree(lambda: boosted_trees("target_t1", 15, 0.1, 4, 0.8, 0.8)),
     "m10_early_stopping": m10_early_stopping,
+    "m11_trees_per_horizon": m11_trees_per_horizon,
     "m11_m12_one_input_all_horizons": m11_m12_one_input_all_horizons,
     "m11_m13_daily_chain": m11_m13_daily_chain,
     "m11_m13_hourly_chain": m11_m13_hourly_chain,
@@ -216,6 +233,7 @@ QUERIES = {
     "a7_saved_lines": a7_saved_lines,
     "m14_bake_off": m14_bake_off,
     "m15_linear_search": m15_linear_search,
+    "m15_tree_search": m15_tree_search,
     "m16_draw_linear": m16_draw_linear,
     "m16_draw_trees": m16_draw_trees,
 }

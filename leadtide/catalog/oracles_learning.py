@@ -51,7 +51,7 @@ ORACLES = {
     "m2_robust_scale": f"WITH {FEATURES_DAILY}, " + _scaled("features", MODEL_MEASURES, "part = 'fit'", "", f"{KEY}, part"),
     "m17_fold_constants": f"WITH {FOLDED}, {_TRAIN}, c AS (" + " UNION ALL ".join(_constants("fold_train", m, "fold") for m in ("humidity", "precip", "temp")) + f") SELECT {_WITH_SCALE.format(front='fold, ')} FROM c",
     "m17_scale_per_fold": f"WITH {FOLDED}, " + _scaled("folded", ["humidity", "precip", "temp"], "role = 'train'", "fold", f"{KEY}, fold, role"),
-    "m1_ml_pipeline": f"WITH {FEATURES_DAILY} SELECT {KEY}, part, {rs([*TARGETS, *DAILY_COLUMNS])} FROM features",
+    "m1_ml_stages": f"WITH {FEATURES_DAILY} SELECT {KEY}, part, {rs([*TARGETS, *DAILY_COLUMNS])} FROM features",
     "m3_ols_one_input": _line("LinearRegression", "cxy / vx"),
     "m4_ridge_one_input": _line("Ridge", "n * cxy / (n * vx + 5000)"),
     "m5_lasso_one_input": _line("Lasso", "sign(cxy) * greatest(abs(cxy) - 7.5e0, 0) / vx"),

@@ -228,18 +228,14 @@ def stop_early(losses: Sequence[float], patience: int = PATIENCE) -> int:
     return at + 1
 
 
-def fit_boosted_with_stop(
-    train: DataFrame,
-    val: DataFrame,
-    label: str,
-    max_rounds: int,
-    patience: int = PATIENCE,
-    **params,
-) -> tuple[Model, int]:
-    """Boost, judge each round on the validation part, and refit up to the best round.
-
-    Rounds are grown in steps of ``patience`` so that a model that stops early is not grown to
-    the end. Both frames are assembled and should be cached.
+def boost_until_stop(
+    train: DataFrame, val: DataFrame, label: str, max_rounds: int, patience: int = PATIENCE, **params
+) -> tuple[Model, int, float]:
+    """Boost and judge each round on the validation part: the model, its best round, and the mean
+    squared error there.
+
+    Rounds are grown in steps, so that a model that stops early is not grown to the end; the model
+    returned may have rounds beyond the best one.
     """
     rounds = min(max_rounds, patience + 1)
     while True:
@@ -247,8 +243,33 @@ def fit_boosted_with_stop(
         losses = model.evaluateEachIteration(val, "squared")
         best = stop_early(losses, patience)
         if rounds - best >= patience or rounds == max_rounds:
-            break
+            return model, best, losses[best - 1]
         rounds = min(max_rounds, max(rounds * 2, best + patience))
-    if best == rounds:
+
+
+def fit_boosted_with_stop(
+    train: DataFrame, val: DataFrame, label: str, max_rounds: int, patience: int = PATIENCE, **params
+) -> tuple[Model, int]:
+    """``boost_until_stop``, refitted up to the best round. Both frames should be cached."""
+    model, best, _ = boost_until_stop(train, val, label, max_rounds, patience, **params)
+    if best == model.getNumTrees:
         return model, best
     return boosted_trees(label, best, **params).fit(train), best
+
+
+def fit_boosted_per_horizon(
+    df: DataFrame, columns: Sequence[str], params: dict[int, dict], threads: int = 3
+) -> dict[int, Model]:
+    """Boosted trees per horizon on rows with a known target. ``df`` should be cached.
+
+    ``params`` has the arguments of ``boosted_trees``; an untuned horizon takes 100 rounds.
+    """
+    ready = assemble(df, columns)
+
+    def job(h: int, p: dict):
+        y = target_name(h)
+        args = {"n_estimators": 100, **p}
+        return lambda: boosted_trees(y, **args).fit(ready.where(F.col(y).isNotNull()).select(FEATURES, y))
+
+    jobs = [job(h, p) for h, p in params.items()]
+    return dict(zip(params, side_by_side(df.sparkSession, jobs, threads)))

@@ -127,7 +127,7 @@ def order_models(metrics: DataFrame, metric: str = "rmse", higher_is_better: boo
 def fill_categories(df: DataFrame, column: str, names: Sequence[str]) -> DataFrame:
     """All listed categories in the result, with NULL where a category has no row."""
     listed = df.sparkSession.createDataFrame([(n,) for n in names], f"{column} string")
-    return F.broadcast(listed).join(df, column, "left")
+    return listed.join(df, column, "left")
 
 
 def mean_over_folds(scores: DataFrame) -> DataFrame:

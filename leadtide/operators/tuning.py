@@ -16,10 +16,15 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from leadtide.config import ALPHA_RANGE, FOLDS, L1_RATIO_RANGE, LINEAR_MODELS, FeatureSpec, target_name
+from leadtide.config import (
+    ALPHA_RANGE, FOLDS, L1_RATIO_RANGE, LINEAR_MODELS, MAX_ROUNDS, PATIENCE, FeatureSpec, target_name,
+)
 from leadtide.operators.blocks import BLOCK_ROWS, lay_out
 from leadtide.operators.features import build_features
-from leadtide.operators.models import horizons_by_rows
+from leadtide.operators.models import (
+    FEATURES, assemble, boost_until_stop, boosted_trees, horizons_by_rows, side_by_side,
+)
+from leadtide.operators.report import mean_over_folds
 from leadtide.operators.scaling import scale_per_group
 from leadtide.operators.splits import assign_folds
 from leadtide.operators.sums import one_label, product_sums, solve_many, squared_errors
@@ -173,3 +178,57 @@ def search_linear(
         F.avg("rmse").alias("val_rmse"), F.count(F.lit(1)).cast("int").alias("n_folds")
     )
     return trials.join(mean, ["horizon", "trial"]), scores
+
+
+def search_trees(
+    df: DataFrame,
+    spec: FeatureSpec,
+    horizons: Sequence[int],
+    gap: int,
+    n_trials: int,
+    ranges: dict,
+    max_rounds: int = MAX_ROUNDS,
+    patience: int | None = PATIENCE,
+    seed: int = 42,
+    folds: int = FOLDS,
+    threads: int = 3,
+    at_most: int | None = None,
+) -> DataFrame:
+    """Trials of boosted trees with mean validation RMSE and mean best round over the folds.
+
+    With ``patience`` each fit stops early on the validation part; without it the rounds are drawn
+    like the other parameters (``n_estimators`` in ``ranges``). Parameters without a counterpart
+    in Spark are drawn and recorded, not used. Fits are Spark jobs from a few driver threads; what
+    reaches the driver is one score per fit.
+    """
+    spark = df.sparkSession
+    studies = spark.createDataFrame([(h,) for h in horizons], "horizon int")
+    trials = draw_trees(studies, n_trials, seed, ["horizon"], ranges)
+    drawn = [r.asDict() for r in trials.collect()]  # horizons * n_trials parameter sets
+    scores = []
+    for h in horizons:
+        y = target_name(h)
+        ready, columns = fold_features(df, spec, [y], gap, folds, at_most=at_most)
+        data = assemble(ready, columns).select("fold", "role", FEATURES, y).persist(StorageLevel.MEMORY_AND_DISK)
+        parts = sorted(r["fold"] for r in data.select("fold").distinct().collect())  # at most ``folds`` rows
+
+        def job(trial: dict, fold: int, y: str = y, data: DataFrame = data):
+            fit, val = (data.where((F.col("fold") == fold) & (F.col("role") == r)) for r in ("train", "val"))
+            args = {"learning_rate": trial["learning_rate"], "max_depth": trial["max_depth"],
+                    "subsample": trial["subsample"], "colsample": trial["colsample_bytree"]}
+
+            def run():
+                if patience is None:
+                    rounds = trial["n_estimators"]
+                    loss = boosted_trees(y, rounds, **args).fit(fit).evaluateEachIteration(val, "squared")[-1]
+                else:
+                    _, rounds, loss = boost_until_stop(fit, val, y, max_rounds, patience, **args)
+                return trial["horizon"], trial["trial"], fold, float(loss) ** 0.5, rounds
+
+            return run
+
+        jobs = [job(t, f) for t in drawn if t["horizon"] == h for f in parts]
+        scores += side_by_side(spark, jobs, threads)
+        data.unpersist()
+    table = spark.createDataFrame(scores, "horizon int, trial int, fold int, rmse double, best_iteration int")
+    return trials.join(mean_over_folds(table), ["horizon", "trial"])

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from leadtide.config import HOURLY
 from leadtide.operators.blocks import lay_out, over_series, row_index
-from leadtide.operators.features import build_features
+from leadtide.operators.features import build_features, targets_and_features
 from leadtide.operators.splits import assign_folds, split_by_time
 from leadtide.operators.windows import centred_band, fill_gaps, lead_targets, trailing_mean
 
@@ -99,6 +99,16 @@ def test_folds_then_features_in_scope(frames):
     same(*got)
 
 
+def test_targets_split_and_features_in_one_go(frames):
+    df, plain, cut = frames
+    once = [targets_and_features(df, x, HOURLY, (1, 7, 30), ["temp"]) for x in (plain, cut)]
+    same(*once)
+    stepwise = split_by_time(lead_targets(df, plain, (1, 7, 30)), plain).withColumn(
+        "part", F.when(F.col("split") == "test", "test").otherwise("fit")
+    )
+    same(once[1], build_features(stepwise, plain, HOURLY, ["part"], ["split", "temp", "target_t1", "target_t7", "target_t30"]))
+
+
 def test_no_task_holds_a_long_series(frames):
     df, _, cut = frames
     from leadtide.operators.blocks import BLOCK, enter

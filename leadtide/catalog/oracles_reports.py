@@ -59,10 +59,10 @@ def _line(x: str, y: str) -> str:
             f"CAST(regr_count({y}, {x}) AS BIGINT) AS n_rows FROM obs_hourly")
 
 
-HISTOGRAM = f"""WITH {OBS_DAILY}, s AS (SELECT min(temp) AS lo, (max(temp) - min(temp)) / 30 AS w FROM obs_daily),
-b AS (SELECT least(CAST(floor((temp - lo) / w) AS INTEGER) + 1, 30) AS bin FROM obs_daily, s WHERE temp IS NOT NULL)
-SELECT CAST(i.bin AS INTEGER) AS bin, {r('lo + (i.bin - 1) * w', 'left')}, {r('lo + i.bin * w', 'right')},
-  (SELECT count(*) FROM b WHERE b.bin = i.bin) AS n_rows FROM range(1, 31) i(bin), s"""
+HISTOGRAM = f"""WITH {OBS_DAILY}, s AS (SELECT min(temp) AS lo, (max(temp) - min(temp)) / 30 AS w FROM obs_daily)
+SELECT CAST(i.bin AS INTEGER) AS bin, {r('any_value(lo) + (i.bin - 1) * any_value(w)', 'left')}, {r('any_value(lo) + i.bin * any_value(w)', 'right')},
+  count(*) FILTER (WHERE temp >= lo + (i.bin - 1) * w AND (temp < lo + i.bin * w OR i.bin = 30)) AS n_rows
+FROM range(1, 31) i(bin), s, obs_daily GROUP BY i.bin"""
 
 DENSITY = f"""WITH {OBS_DAILY}, s AS (SELECT min(temp) AS lo, (max(temp) - min(temp)) / 199 AS step, count(temp) AS n,
   pow(count(temp), CAST(-0.2 AS DOUBLE)) * stddev_samp(temp) AS bw FROM obs_daily),

@@ -51,7 +51,8 @@ def correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def histogram(df: DataFrame, column: str = TARGET, bins: int = 30) -> DataFrame:
-    """Equal bins from minimum to maximum; the last one includes its right edge. Empty bins have 0."""
+    """Equal bins from minimum to maximum, with edges lo + i * width; a value on an edge belongs to
+    the bin on its right, the maximum to the last bin. Empty bins have 0 rows."""
     x = F.col(column)
     seen = df.agg(F.min(x).alias("lo"), F.max(x).alias("hi")).first()  # one row
     lo, hi = seen["lo"], seen["hi"]
@@ -60,7 +61,12 @@ def histogram(df: DataFrame, column: str = TARGET, bins: int = 30) -> DataFrame:
     if lo == hi:
         lo, hi = lo - 0.5, hi + 0.5
     width = (hi - lo) / bins
-    where = F.least(F.width_bucket(x, F.lit(lo), F.lit(hi), F.lit(bins)), F.lit(bins)).cast("int")
+    # A first guess by division, put right where rounding has moved it over an edge.
+    guess = f"least(greatest(floor((`{column}` - {lo!r}D) / {width!r}D), 0), {bins - 1})"
+    where = F.expr(
+        f"CAST({guess} - if(`{column}` < {lo!r}D + {guess} * {width!r}D, 1, 0) "
+        f"+ if(`{column}` >= {lo!r}D + ({guess} + 1) * {width!r}D AND {guess} < {bins - 1}, 1, 0) + 1 AS INT)"
+    )
     counts = df.where(x.isNotNull()).groupBy(where.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
     every = df.sparkSession.range(1, bins + 1).select(F.col("id").cast("int").alias("bin"))
     return every.join(counts, "bin", "left").select(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from leadtide.llm import exact
+from leadtide.llm import exact, packing, quality, secret_scan
 from leadtide.llm.common import documents
 
 
@@ -12,10 +12,58 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.copies(documents(spark, sf_dir))
 
 
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.piece_digests(packing.pack_documents(documents(spark, sf_dir)))
+
+
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.digests(secret_scan.scan(documents(spark, sf_dir)))
+
+
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.verdicts(documents(spark, sf_dir)).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
+    )
+
+
 QUERIES = {
     "op2_exact_dedup": op2_exact_dedup,
+    "op3_packing": op3_packing,
+    "op6_secret_scan": op6_secret_scan,
+    "op9_quality_rules": op9_quality_rules,
 }
 
+
+def _secrets_sql() -> str:
+    """Each rule's matches in SQL: pieces between matches and matches, laid end to end."""
+    each = []
+    for k, r in enumerate(secret_scan.BASE + secret_scan.MORE, 1):
+        quoted = r.pattern.replace("'", "''")
+        each.append(f"""
+SELECT doc_id, {k} AS place, '{r.kind}' AS kind, b AS start, b + length(m[i]) AS stop FROM (
+  SELECT doc_id, m, g, i, list_sum(list_transform(p[1:i], lambda x: length(x)))
+    + coalesce(list_sum(list_transform(m[1:i - 1], lambda x: length(x))), 0) AS b
+  FROM (
+    SELECT *, unnest(range(1, len(m) + 1)) AS i FROM (
+      SELECT doc_id, string_split_regex(text, '{quoted}') AS p, regexp_extract_all(text, '{quoted}', 0) AS m,
+        regexp_extract_all(text, '{quoted}', {r.group}) AS g
+      FROM d
+    )
+  )
+) WHERE length(g[i]) >= {r.least}""")
+    counts = ", ".join(f"count(*) FILTER (WHERE place = {k}) AS n_{r.kind}" for k, r in enumerate(secret_scan.BASE, 1))
+    said = "string_agg(kind || ':' || start::BIGINT || ':' || stop::BIGINT, ',' ORDER BY start, place)"
+    return f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+s AS ({" UNION ALL ".join(each)}),
+n AS (
+  SELECT doc_id, {counts}, {said} FILTER (WHERE place <= {len(secret_scan.BASE)}) AS base, {said} AS spans FROM s GROUP BY doc_id
+)
+SELECT doc_id, {", ".join(f"coalesce(n_{r.kind}, 0) AS n_{r.kind}" for r in secret_scan.BASE)},
+  sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN n USING (doc_id)
+"""
+
 ORACLES = {
     "op2_exact_dedup": r"""
 WITH t AS (
@@ -28,5 +76,43 @@ WITH t AS (
   FROM t
 )
 SELECT doc_id, keep_id, group_size, place = 1 AS kept, sha256(content) AS text_sha256 FROM r
+""",
+    "op6_secret_scan": _secrets_sql(),
+    "op9_quality_rules": r"""
+WITH t AS (
+  SELECT doc_id, source, coalesce(text, '') AS text,
+    list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS ws,
+    list_filter(string_split(coalesce(text, ''), chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS ls
+  FROM documents
+), p AS (
+  SELECT doc_id, i, ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] AS w
+  FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 1)) AS i FROM t)
+), q AS (
+  SELECT doc_id, i FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, w) AS n FROM p) WHERE n > 1
+), c AS (
+  SELECT doc_id, count(DISTINCT i + k) AS n FROM q, (VALUES (0), (1), (2)) o(k) GROUP BY doc_id
+), m AS (
+  SELECT t.doc_id, source, len(ws)::BIGINT AS n_words, coalesce(list_sum(list_transform(ws, lambda w: length(w))), 0)::BIGINT AS word_chars,
+    length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS n_symbols, len(ls)::BIGINT AS n_lines,
+    (len(ls) - len(list_distinct(ls)))::BIGINT AS n_dup_lines, coalesce(c.n, 0)::BIGINT AS n_repeat_words
+  FROM t LEFT JOIN c USING (doc_id)
+), b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM m),
+h AS (
+  SELECT source, rule, count(*) AS n, sum(bad::INT) AS failed FROM (
+    SELECT source, 'base' AS rule, base_failed AS bad FROM b
+    UNION ALL SELECT source, 'symbols', n_symbols * 10 > n_words FROM b
+    UNION ALL SELECT source, 'lines', n_dup_lines * 3 > n_lines FROM b
+    UNION ALL SELECT source, 'length', word_chars > 12 * n_words OR word_chars < 2 * n_words FROM b
+  ) GROUP BY 1, 2
+), prior AS (
+  SELECT rule, avg(failed / n) AS m, var_pop(failed / n) AS v,
+    CASE WHEN var_pop(failed / n) > 0 THEN avg(failed / n) * (1 - avg(failed / n)) / var_pop(failed / n) - 1 ELSE 1 END AS strength
+  FROM h GROUP BY rule
+), bad AS (
+  SELECT source, max((failed + m * strength) / (n + strength)) > 0.5 AS host_rejected
+  FROM h JOIN prior USING (rule) GROUP BY source
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND NOT host_rejected AS kept
+FROM b JOIN bad ON b.source IS NOT DISTINCT FROM bad.source
 """,
 }

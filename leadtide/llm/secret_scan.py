@@ -164,6 +164,9 @@ def digests(found: DataFrame, rules: tuple[Rule, ...] = BASE + MORE, base: int =
     def said(col: Column) -> Column:
         return F.array_join(F.transform(col, lambda s: F.concat_ws(":", kinds[s["place"] - 1], s["start"], s["end"])), ",")
 
-    counts = [F.size(F.filter("found", lambda s, k=k: s["place"] == k)).cast("bigint").alias(f"n_{r.kind}") for k, r in enumerate(rules[:base], 1)]
+    def count(place: int) -> Column:
+        return F.size(F.filter("found", lambda s: s["place"] == place)).cast("bigint")
+
+    counts = [count(k).alias(f"n_{r.kind}") for k, r in enumerate(rules[:base], 1)]
     own = said(F.filter("found", lambda s: s["place"] <= base))
     return found.select("doc_id", *counts, F.sha2(own, 256).alias("base_sha256"), said(F.col("found")).alias("spans"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from leadtide.llm import exact, packing, quality, secret_scan
+from leadtide.llm import exact, near, packing, quality, secret_scan
 from leadtide.llm.common import documents
 
 
@@ -20,6 +20,10 @@ def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digests(secret_scan.scan(documents(spark, sf_dir)))
 
 
+def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near.classes(documents(spark, sf_dir)).select("doc_id", "class_id", "class_size", "kept")
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.verdicts(documents(spark, sf_dir)).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
@@ -30,6 +34,7 @@ QUERIES = {
     "op2_exact_dedup": op2_exact_dedup,
     "op3_packing": op3_packing,
     "op6_secret_scan": op6_secret_scan,
+    "op7_near_dedup": op7_near_dedup,
     "op9_quality_rules": op9_quality_rules,
 }
 

@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from leadtide.llm import exact, near, packing, quality, secret_scan
+from leadtide.llm import exact, language, lines, mixing, near, order, packing, quality, secret_scan, toxicity
 from leadtide.llm.common import documents
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.drop_boilerplate(documents(spark, sf_dir))
+
+
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.copies(documents(spark, sf_dir))
 
@@ -16,6 +20,15 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.piece_digests(packing.pack_documents(documents(spark, sf_dir)))
 
 
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(documents(spark, sf_dir)).select("doc_id", "source", "block", "slot", "release", "deadline", "place")
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return toxicity.score(docs, toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
+
+
 def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digests(secret_scan.scan(documents(spark, sf_dir)))
 
@@ -24,18 +37,32 @@ def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near.classes(documents(spark, sf_dir)).select("doc_id", "class_id", "class_size", "kept")
 
 
+def op8_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return order.materialise(docs, order.fresh_folder(docs))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.verdicts(documents(spark, sf_dir)).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
     )
 
 
+def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(documents(spark, sf_dir))
+
+
 QUERIES = {
+    "op1_line_dedup": op1_line_dedup,
     "op2_exact_dedup": op2_exact_dedup,
     "op3_packing": op3_packing,
+    "op4_mixing": op4_mixing,
+    "op5_toxicity": op5_toxicity,
     "op6_secret_scan": op6_secret_scan,
     "op7_near_dedup": op7_near_dedup,
+    "op8_training_order": op8_training_order,
     "op9_quality_rules": op9_quality_rules,
+    "op10_language": op10_language,
 }
 
 

@@ -86,5 +86,5 @@ def drop_boilerplate(
         "doc_id",
         F.array_join("left", "\n").alias("text"),
         F.coalesce(F.size("all"), F.lit(0)).cast("bigint").alias("n_lines"),
-        (F.size("all") - F.size("left")).cast("bigint").alias("n_removed"),
+        F.coalesce(F.size("all") - F.size("left"), F.lit(0)).cast("bigint").alias("n_removed"),
     )

@@ -97,6 +97,18 @@ FROM d LEFT JOIN n USING (doc_id)
 """
 
 ORACLES = {
+    "op1_line_dedup": r"""
+WITH l AS (
+  SELECT doc_id, source, trim(unnest(string_split(text, chr(10))), E' \t\r\x0b\x0c') AS line FROM documents
+), b AS (
+  SELECT line FROM l WHERE line <> '' GROUP BY line HAVING count(DISTINCT source) >= 10
+), d AS (
+  SELECT doc_id, string_split(text, chr(10)) AS ls, coalesce((SELECT list(line) FROM b), []) AS bad FROM documents
+), k AS (
+  SELECT doc_id, ls, list_filter(ls, lambda s: NOT list_contains(bad, trim(s, E' \t\r\x0b\x0c'))) AS kept FROM d
+)
+SELECT doc_id, array_to_string(kept, chr(10)) AS text, coalesce(len(ls), 0) AS n_lines, coalesce(len(ls) - len(kept), 0) AS n_removed FROM k
+""",
     "op2_exact_dedup": r"""
 WITH t AS (
   SELECT doc_id, coalesce(text, '') AS text, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS content
@@ -108,6 +120,41 @@ WITH t AS (
   FROM t
 )
 SELECT doc_id, keep_id, group_size, place = 1 AS kept, sha256(content) AS text_sha256 FROM r
+""",
+    "op4_mixing": """
+WITH RECURSIVE d AS (
+  SELECT doc_id, source, coalesce(length(text), 0) AS size, ('0x' || md5(doc_id::VARCHAR)[1:8])::BIGINT AS h FROM documents
+), src AS (
+  SELECT source, CASE WHEN source = 'src0' THEN 4 ELSE 1 END AS share, greatest(1, ceil(sum(size) / 50000))::BIGINT AS blocks
+  FROM d GROUP BY source
+), lives AS (SELECT *, ceil(blocks / share)::BIGINT AS life FROM src),
+ends AS (SELECT life AS to_p, coalesce(lag(life) OVER (ORDER BY life), 0) AS from_p FROM (SELECT DISTINCT life FROM lives)),
+p AS (
+  SELECT from_p, to_p, list(source ORDER BY source) AS names, list(share ORDER BY source) AS shares, sum(share)::BIGINT AS slots
+  FROM ends JOIN lives ON life > from_p GROUP BY ALL
+), based AS (
+  SELECT *, coalesce(sum((to_p - from_p) * slots) OVER (ORDER BY from_p ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS base FROM p
+), r AS (
+  SELECT from_p, 0 AS t, list_transform(shares, lambda x: 0) AS done, NULL::STRUCT(deadline BIGINT, i BIGINT, j BIGINT, release BIGINT) AS b FROM p
+  UNION ALL
+  SELECT from_p, t + 1, list_transform(done, lambda x, i: x + (i = b.i)::INT), b FROM (
+    SELECT r.from_p, r.t, r.done, list_sort(list_filter(list_transform(r.done, lambda x, i:
+      CASE WHEN x < p.shares[i] AND floor(x * p.slots / p.shares[i]) <= r.t THEN {
+        'deadline': ceil((x + 1) * p.slots / p.shares[i])::BIGINT, 'i': i::BIGINT, 'j': x::BIGINT,
+        'release': floor(x * p.slots / p.shares[i])::BIGINT} END), lambda y: y IS NOT NULL))[1] AS b
+    FROM r JOIN p USING (from_p) WHERE r.t < p.slots
+  )
+), s AS (
+  SELECT from_p, to_p, base, slots, names[b.i] AS source, b.j AS j, t - 1 AS slot, b.release AS release, b.deadline AS deadline
+  FROM r JOIN based USING (from_p) WHERE t > 0
+), placed AS (
+  SELECT doc_id, source, share, blocks,
+    coalesce(sum(size) OVER (PARTITION BY source ORDER BY h, doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS place
+  FROM d JOIN lives USING (source)
+), o AS (SELECT *, least(place // 50000, blocks - 1) AS block FROM placed)
+SELECT doc_id, source, block, base + (block // share - from_p) * slots + slot AS slot, base + (block // share - from_p) * slots + release AS release,
+  base + (block // share - from_p) * slots + deadline AS deadline, place
+FROM o JOIN s USING (source) WHERE block % share = j AND block // share >= from_p AND block // share < to_p
 """,
     "op6_secret_scan": _secrets_sql(),
     "op9_quality_rules": r"""

@@ -7,7 +7,8 @@ models. Features are words and word beginnings of three to six letters, present
 case and as 64-bit hashes, so inflected and compound forms of a toxic stem share a feature.
 
 The models are fitted on a bounded sample of labelled rows: the ``sample`` rows with the smallest
-hash of their id. A feature enters a model if its frequency in the category differs from the base
+hash of their id. Their texts are cut to features and counted on the executors; only which of the
+chosen features each row has, at most a few hundred numbers a row, is fitted on the driver. A feature enters a model if its frequency in the category differs from the base
 rate by ``Z`` standard deviations in that model's own training rows, the ``features`` strongest at
 most; so both what is collected and what is sent to the tasks have fixed bounds. Scoring is one pass
 without a shuffle and needs no size assumption on a document.
@@ -26,9 +27,6 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import CountVectorizerModel, VectorAssembler
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -37,8 +35,8 @@ from leadtide.llm.common import written
 
 #: The chain, earliest first: how each category follows from the columns of the labels.
 CATEGORIES = {"low_quality": "1 - quality", "toxic": "toxic"}
-SAMPLE = 20_000
-FEATURES = 20_000
+SAMPLE = 10_000
+FEATURES = 4_000
 FOLDS = 3
 Z = 4.0
 STARTS = (3, 4, 5, 6)
@@ -74,7 +72,7 @@ def _feature_counts(categories: int):
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in bounded(whole, 0, 8 << 20):
+            for batch in bounded(whole, 0):
                 rows, hashes = features(batch.column(0))
                 order = np.lexsort((rows, hashes))
                 rows, hashes = rows[order], hashes[order]
@@ -115,7 +113,7 @@ def _picked(vocabulary: np.ndarray, columns: list[str]):
             for batch in bounded(whole, 0):
                 rows, places = _present(batch.column(0), vocabulary)
                 bounds = np.searchsorted(rows, np.arange(len(batch) + 1))
-                words = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(places).cast(pa.string()))
+                words = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(places.astype(np.int32)))
                 yield pa.RecordBatch.from_arrays([*batch.columns[1:], words], names=columns)
 
     return pick
@@ -130,6 +128,16 @@ class Link:
     earlier: tuple[float, ...] = ()
 
 
+    def probability(self, rows: np.ndarray, places: np.ndarray, n: int, earlier: list[np.ndarray]) -> np.ndarray:
+        """For ``n`` rows, of which rows[i] has the feature places[i]."""
+        if self.weights is None:
+            return np.full(n, self.intercept)
+        z = self.intercept + np.bincount(rows, self.weights[places], n)
+        for w, p in zip(self.earlier, earlier, strict=True):
+            z = z + w * p
+        return 1.0 / (1.0 + np.exp(-np.clip(z, -500, 500)))
+
+
 @dataclass
 class Chain:
     categories: tuple[str, ...]
@@ -141,16 +149,67 @@ class Chain:
         rows, places = _present(texts, self.vocabulary)
         out: list[np.ndarray] = []
         for link in self.links:
-            if link.weights is None:
-                out.append(np.full(n, link.intercept))
-                continue
-            z = link.intercept + np.bincount(rows, link.weights[places], n)
-            for w, p in zip(link.earlier, out, strict=True):
-                z = z + w * p
-            out.append(1.0 / (1.0 + np.exp(-np.clip(z, -500, 500))))
+            out.append(link.probability(rows, places, n, out))
         return out
 
 
+def logistic(rows: np.ndarray, columns: np.ndarray, width: int, dense: np.ndarray, y: np.ndarray, penalty: float = 0.02, turns: int = 20) -> np.ndarray:
+    """Weights of the dense columns (the first is the constant), then of ``width`` present-or-not ones.
+
+    Newton steps with preconditioned conjugate gradients, halved until the loss falls; the squares of
+    all weights but the constant are penalized. ``rows`` ascend.
+    """
+    n, d = dense.shape
+    w, ridge = np.zeros(d + width), np.full(d + width, penalty)
+    ridge[0] = 1e-6
+    order = np.argsort(columns, kind="stable")
+    by_column = rows[order]
+    row_ids, row_starts = np.unique(rows, return_index=True)
+    column_ids, column_starts = np.unique(columns[order], return_index=True)
+
+    def times(v: np.ndarray) -> np.ndarray:
+        out = dense @ v[:d]
+        if len(rows):
+            out[row_ids] += np.add.reduceat(v[d:][columns], row_starts)
+        return out
+
+    def back(r: np.ndarray, x: np.ndarray = dense) -> np.ndarray:
+        out = np.zeros(d + width)
+        out[:d] = x.T @ r
+        if len(rows):
+            out[d + column_ids] = np.add.reduceat(r[by_column], column_starts)
+        return out
+
+    def loss(v: np.ndarray) -> float:
+        z = times(v)
+        return float((np.logaddexp(0, z) - y * z).sum() + (ridge * v * v).sum() / 2)
+
+    now = loss(w)
+    for _ in range(turns):
+        p = 1.0 / (1.0 + np.exp(-np.clip(times(w), -500, 500)))
+        grad, s = back(p - y) + ridge * w, p * (1 - p) + 1e-9
+        scale_by = 1.0 / (back(s, dense * dense) + ridge)
+        step, r = np.zeros_like(w), -grad
+        q = scale_by * r
+        rz = first = float(r @ q)
+        for _ in range(30):
+            if rz <= 1e-6 * first:
+                break
+            hq = back(s * times(q)) + ridge * q
+            a = rz / float(q @ hq)
+            step, r = step + a * q, r - a * hq
+            rz, old = float(r @ (scale_by * r)), rz
+            q = scale_by * r + rz / old * q
+        size = 1.0
+        while size > 1e-6 and loss(w + size * step) > now:
+            size /= 2
+        after = loss(w + size * step)
+        if not after < now - 1e-6 * (1 + now):
+            break
+        w, now = w + size * step, after
+    return w
+
+
 def _sampled(docs: DataFrame, labels: DataFrame, doc_id: str, text: str, categories: dict[str, str], sample: int, folds: int) -> DataFrame:
     """text, fold, y0, y1, ... of the labelled documents in the sample."""
     ys = [F.expr(e).cast("int").alias(f"y{c}") for c, e in enumerate(categories.values())]
@@ -197,39 +256,40 @@ def train(
     vocabulary = kept["feature"].to_numpy(np.int64)
 
     columns = ["fold", *ys, "words"]
-    kinds = "fold int, " + ", ".join(f"{y} int" for y in ys) + ", words array<string>"
-    table = written(rows.mapInArrow(_picked(vocabulary, columns), kinds).repartition(4), "chain")
-
-    def fit(data: DataFrame, y: str, without: int | None, earlier: list[str]) -> tuple[Link, DataFrame]:
-        """The link learned from ``data`` less one fold, and ``data`` with its probabilities as p_y."""
-        n, hits = total("n", without), total(y, without)
+    kinds = "fold int, " + ", ".join(f"{y} int" for y in ys) + ", words array<int>"
+    table = rows.mapInArrow(_picked(vocabulary, columns), kinds).toArrow()  # ``sample`` rows
+    fold = table.column("fold").to_numpy()
+    words = table.column("words").combine_chunks() if len(table) else pa.array([], pa.list_(pa.int32()))
+    words = words.combine_chunks() if isinstance(words, pa.ChunkedArray) else words
+    row_of = np.repeat(np.arange(len(table)), pc.list_value_length(words).to_numpy(zero_copy_only=False))
+    word = words.flatten().to_numpy()
+
+    def fit(y: str, without: int | None, earlier: list[np.ndarray]) -> Link:
+        """The link learned from all rows, or all but one fold."""
+        here = np.ones(len(table), bool) if without is None else fold != without
+        target = table.column(y).to_numpy()[here].astype(float)
         own = np.flatnonzero(kept[f"z_{y}_{without}"].to_numpy() >= Z)
-        if not 0 < hits < n or not len(own):
-            rate = hits / max(1, n)
-            return Link(rate), data.withColumn(f"p_{y}", F.lit(float(rate)))
-        bag = CountVectorizerModel.from_vocabulary([str(i) for i in own], "words", "bag").setBinary(True).setMinTF(1.0)
-        wide = VectorAssembler(inputCols=["bag", *earlier], outputCol="x")
-        model = LogisticRegression(featuresCol="x", labelCol=y, probabilityCol="both", rawPredictionCol="raw", predictionCol="hard",
-                                   regParam=1e-4, maxIter=40)
-        seen = wide.transform(bag.transform(data))
-        fitted = model.fit(seen if without is None else seen.filter(F.col("fold") != without))
+        if not 0 < target.sum() < len(target) or not len(own):
+            return Link(float(target.sum() / max(1, len(target))))
+        column = np.full(len(vocabulary), -1)
+        column[own] = np.arange(len(own))
+        use = here[row_of] & (column[word] >= 0)
+        at = (np.cumsum(here) - 1)[row_of[use]]
+        dense = np.column_stack([np.ones(int(here.sum())), *[p[here] for p in earlier]])
+        solved = logistic(at, column[word[use]], len(own), dense, target)
         weights = np.zeros(len(vocabulary))
-        coefficients = fitted.coefficients.toArray()
-        weights[own] = coefficients[: len(own)]
-        link = Link(float(fitted.intercept), weights, tuple(float(w) for w in coefficients[len(own) :]))
-        scored = fitted.transform(seen).withColumn(f"p_{y}", vector_to_array("both")[1])
-        return link, scored.drop("bag", "x", "both", "raw", "hard")
-
-    links = []
-    for at, y in enumerate(ys):
-        earlier = [f"p_{e}" for e in ys[:at]]
-        links.append(fit(table, y, None, earlier)[0])
+        weights[own] = solved[dense.shape[1] :]
+        return Link(float(solved[0]), weights, tuple(map(float, solved[1 : dense.shape[1]])))
+
+    links: list[Link] = []
+    oof: list[np.ndarray] = []
+    for y in ys:
+        links.append(fit(y, None, oof))
         if y != ys[-1]:
-            parts = [fit(table, y, k, earlier)[1].filter(F.col("fold") == k) for k in range(folds)]
-            oof = parts[0]
-            for part in parts[1:]:
-                oof = oof.unionByName(part)
-            table = written(oof, "chain")
+            p = np.zeros(len(table))
+            for k in range(folds):
+                p = np.where(fold == k, fit(y, k, oof).probability(row_of, word, len(table), oof), p)
+            oof = [*oof, p]
     return Chain(tuple(categories), vocabulary, links)
 
 

@@ -9,7 +9,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 
-def bounded(batch: pa.RecordBatch, text: int, most: int = 2 << 20, rows: int = 4096) -> Iterator[pa.RecordBatch]:
+def bounded(batch: pa.RecordBatch, text: int, most: int = 1 << 20, rows: int = 4096) -> Iterator[pa.RecordBatch]:
     """Slices of about ``most`` bytes of text, at least one row each."""
     sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
     ends = np.cumsum(sizes)

@@ -9,11 +9,12 @@ Bands of components are buckets. Two documents are linked if they share a bucket
 similarity of their sets is ``least`` or more; classes are the connected components of the links.
 With 24 bands of 5 a pair at 0.8 shares no bucket with probability 7e-5.
 
-No bucket is expanded into pairs. Documents with one set are one node from the start. Then each
-bucket compares its nodes with one pivot, links are joined up, and only nodes of different
-components remain to be compared. Pivots change from round to round; when few cross pairs are left,
-all of them are compared. A pair is left out only if its nodes are connected already, so no link
-that could change a class is lost.
+Documents with one set are one node from the start. Each bucket first compares its nodes with one
+pivot, the node that shares buckets with most others; links are joined up, and another pivot follows.
+That connects all but a few nodes of a large class. Only nodes of different components that still
+share a bucket are then compared with each other, inside the join, which gives out the links and no
+other pair. A pair is left out only if its nodes are connected already or differ too much in size,
+so no link that could change a class is lost.
 
 Sketches and links are tables in the shared folder; every step is a join or an aggregate that
 combines in each task, and hot keys are met by skew joins. Rows are named by a 64-bit hash of id
@@ -33,15 +34,15 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from leadtide.llm.arrays import bounded
 from leadtide.llm.common import row_key, unused, written
 
 SHINGLE = 5
 LEAST = 0.8
 BANDS = 24
 ROWS = 5
-#: Rounds of pivots before all cross pairs are compared, and cross pairs per node that are few enough at once.
-ROUNDS = 6
-FEW = 4
+#: Rounds of pivots before what is not connected is compared.
+ROUNDS = 2
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -125,8 +126,7 @@ def _sketches(bands: int, rows: int):
 
         salts = _odd(rows)
         for whole in batches:
-            for at in range(0, len(whole), 1024):
-                batch = whole.slice(at, 1024)
+            for batch in bounded(whole, 2, rows=1024):
                 hashes, counts, bounds = shingle_sets(batch.column("text"))
                 sign = signatures(hashes, 1.0 + np.log2(counts), bounds, bands * rows).reshape(-1, bands, rows)
                 banded = _mix((sign * salts).sum(axis=2, dtype=np.uint64) + np.arange(bands, dtype=np.uint64)).view(np.int64)
@@ -146,8 +146,8 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     import xxhash
 
     for whole in batches:
-        for at in range(0, len(whole), 1024):
-            hashes, _, bounds = shingle_sets(whole.column("text").slice(at, 1024))
+        for batch in bounded(whole, whole.schema.get_field_index("text"), rows=1024):
+            hashes, _, bounds = shingle_sets(batch.column("text"))
             digest = [xxhash.xxh3_128_digest(hashes[s:e].tobytes()) for s, e in zip(bounds[:-1], bounds[1:], strict=True)]
             lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(hashes.astype(np.uint32).view(np.int32)))
             yield pa.RecordBatch.from_arrays([pa.array(digest, pa.binary()), lists], names=["digest", "shingles"])
@@ -201,8 +201,9 @@ def classes(
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")
     nodes = sketched.groupBy("digest").agg(F.min(order).alias("first"), F.count("*").alias("size"))
     spread = sketched.dropDuplicates(["digest"]).select("digest", "n", F.explode("bands").alias("bucket"))
-    shared = spread.groupBy("bucket").agg(F.count("*").alias("nodes")).filter("nodes > 1").select("bucket")
+    shared = spread.groupBy("bucket").agg(F.count("*").alias("nodes")).filter("nodes > 1")
     entries = written(spread.join(shared, "bucket"), "buckets")
+    degree = entries.groupBy("digest").agg(F.sum("nodes").alias("degree"))
     wanted = entries.select("digest").distinct().join(nodes, "digest").select(F.col("first.row").alias("row"))
     sets = written(
         narrow.join(wanted, "row", "left_semi").mapInArrow(_sets, "digest binary, shingles array<int>").dropDuplicates(["digest"]), "sets"
@@ -218,25 +219,27 @@ def classes(
     alike = F.least("n", "p_n") + 1e-9 >= least * F.greatest("n", "p_n")
     for turn in range(ROUNDS + 1):
         now = tagged(roots)
-        per_part = now.groupBy("bucket", "part").agg(F.count("*").alias("k"))
-        cross = per_part.groupBy("bucket").agg(F.sum("k").alias("k"), F.sum(F.col("k") * F.col("k")).alias("own"))
-        left, total = cross.agg(F.sum((F.col("k") * F.col("k") - F.col("own")) / 2), F.sum("k")).first()
-        if not left:
+        split = now.groupBy("bucket").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).filter("lo <> hi").select("bucket")
+        now = written(now.join(split, "bucket"), "open")
+        if now.isEmpty():
             break
-        last = left <= FEW * total / bands + 1000 or turn == ROUNDS
-        if last:
-            other = now.select("bucket", F.col("digest").alias("p"), F.col("n").alias("p_n"), F.col("part").alias("p_part"))
-            pairs = now.join(other, "bucket").filter((F.col("part") < F.col("p_part")) & alike)
+        if turn < ROUNDS:
+            ranked = now.join(degree, "digest").withColumn("rank", F.when(F.lit(turn == 0), -F.col("degree")).otherwise(F.xxhash64("digest")))
+            pick = F.min(F.struct("rank", F.col("digest").alias("p"), F.col("n").alias("p_n"), F.col("part").alias("p_part")))
+            pivots = ranked.groupBy("bucket").agg(pick.alias("v")).select("bucket", "v.p", "v.p_n", "v.p_part")
+            pairs = now.join(pivots, "bucket").filter((F.col("part") != F.col("p_part")) & alike)
+            pairs = pairs.select(F.least("digest", "p").alias("a"), F.greatest("digest", "p").alias("b")).distinct()
+            found = _verified(pairs, sets, least)
         else:
-            pick = F.min(F.struct(F.xxhash64(F.lit(turn), "digest").alias("h"), F.col("digest").alias("p"), F.col("n").alias("p_n"), F.col("part").alias("p_part")))
-            pivots = now.groupBy("bucket").agg(pick.alias("v"), F.min("part").alias("lo"), F.max("part").alias("hi")).filter("lo <> hi")
-            pairs = now.join(pivots.select("bucket", "v.*"), "bucket").filter((F.col("part") != F.col("p_part")) & alike)
-        pairs = pairs.select(F.least("digest", "p").alias("a"), F.greatest("digest", "p").alias("b")).distinct()
-        found = written(_verified(pairs, sets, least), "links")
+            one = now.join(sets, "digest").select("bucket", "digest", "n", "part", "shingles")
+            other = one.select("bucket", *[F.col(c).alias(f"p_{c}") for c in one.columns[1:]])
+            common = F.size(F.array_intersect("shingles", "p_shingles"))
+            close = (1 + least) * common + 1e-6 >= least * (F.col("n") + F.col("p_n"))
+            pairs = one.join(other, (one["bucket"] == other["bucket"]) & (F.col("part") < F.col("p_part")) & alike & close)
+            found = pairs.select(F.col("digest").alias("a"), F.col("p_digest").alias("b")).distinct()
+        found = written(found, "links")
         links = found if links is None else links.unionByName(found)
         roots = components(links)
-        if last:
-            break
 
     if roots is None:
         placed = nodes.withColumn("part", F.col("digest"))

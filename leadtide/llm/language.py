@@ -58,18 +58,34 @@ def ranked(grams: np.ndarray, top: int) -> np.ndarray:
     return found[np.argsort(-counts, kind="stable")[:top]]
 
 
+def _merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct n-grams with their counts added up."""
+    found, at = np.unique(np.concatenate([g for g, _ in parts]), return_inverse=True)
+    return found, np.bincount(at, np.concatenate([n for _, n in parts]), len(found)).astype(np.int64)
+
+
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Counts by language of one task, given out whenever a million distinct n-grams are held."""
+    held: dict[str, list] = {}
+
+    def given(name: str) -> pa.RecordBatch:
+        found, counts = _merged(held.pop(name))
+        return pa.RecordBatch.from_arrays([pa.array([name] * len(found), pa.string()), pa.array(found), pa.array(counts)], names=["lang", "gram", "n"])
+
     for whole in batches:
-        for batch in bounded(whole, 1, 8 << 20):
+        for batch in bounded(whole, 1):
             grams, bounds = ngrams(batch.column(1))
-            sizes = np.diff(bounds)
             names = np.array(batch.column(0).to_pylist(), dtype=object)
-            of = np.repeat(names, sizes)
+            of = np.repeat(names, np.diff(bounds))
             for name in sorted(set(names)):
-                found, counts = np.unique(grams[of == name], return_counts=True)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([name] * len(found), pa.string()), pa.array(found), pa.array(counts.astype(np.int64))], names=["lang", "gram", "n"]
-                )
+                parts = held.setdefault(name, [])
+                parts.append(np.unique(grams[of == name], return_counts=True))
+                if len(parts) > 8:
+                    held[name] = [_merged(parts)]
+            for name in [name for name, parts in held.items() if sum(len(g) for g, _ in parts) > 1_000_000]:
+                yield given(name)
+    for name in list(held):
+        yield given(name)
 
 
 def profiles(labelled: DataFrame, lang: str = "lang", text: str = "text", top: int = TOP) -> dict[str, np.ndarray]:

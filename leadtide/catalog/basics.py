@@ -266,18 +266,13 @@ def _lag24(c, w):
 FILLED = ["windspeed", "daylight_hours", "solar_per_hour"]
 
 
-def w6_forward_fill(spark: SparkSession, sf: str) -> DataFrame:
-    from pyspark.sql import Window
+def _w6(blocked: bool):
+    def query(spark: SparkSession, sf: str) -> DataFrame:
+        df, layout = worked.hourly(spark, sf, BLOCK if blocked else None)
+        filled = fill_gaps(df.select(*KEY, "windspeed"), layout, ["windspeed"], last_resort=None, backward=False)
+        return rounded(filled.select(*KEY, "windspeed"))
 
-    df, layout = worked.hourly(spark, sf)
-    return rounded(
-        over_series(
-            df, layout,
-            lambda d, w: d.withColumn(
-                "windspeed", F.last("windspeed", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))
-            ),
-        ).select(*KEY, "windspeed")
-    )
+    return query
 
 
 def _w7(variant: str, blocked: bool):
@@ -411,7 +406,8 @@ QUERIES = {
     "w4_trailing_mean": _over("temp_rolling_avg_24h", _mean24, "temp", 24),
     "w4_trailing_mean_blocked": _over("temp_rolling_avg_24h", _mean24, "temp", 24, "daily", True),
     "w5_trailing_sum": _over("precip_rolling_sum_24h", _sum24, "precip", 24),
-    "w6_forward_fill": w6_forward_fill,
+    "w6_forward_fill": _w6(False),
+    "w6_forward_fill_blocked": _w6(True),
     "w7_fill_both_ways": _w7("hourly", False),
     "w7_fill_both_ways_blocked": _w7("daily", True),
     "w8_w9_centred_band": _w8("daily", False),

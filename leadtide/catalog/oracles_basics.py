@@ -240,6 +240,7 @@ ORACLES = {
     "w4_trailing_mean_blocked": _windowed(OBS_DAILY, "obs_daily", "coalesce(avg(temp) OVER (w ROWS BETWEEN 24 PRECEDING AND 1 PRECEDING), 0)", "temp_rolling_avg_24h"),
     "w5_trailing_sum": _windowed(OBS_HOURLY, "obs_hourly", "coalesce(sum(precip) OVER (w ROWS BETWEEN 24 PRECEDING AND 1 PRECEDING), 0)", "precip_rolling_sum_24h"),
     "w6_forward_fill": _windowed(OBS_HOURLY, "obs_hourly", "last_value(windspeed IGNORE NULLS) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)", "windspeed"),
+    "w6_forward_fill_blocked": _windowed(OBS_HOURLY, "obs_hourly", "last_value(windspeed IGNORE NULLS) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)", "windspeed"),
     "w7_fill_both_ways": _fill_query(OBS_HOURLY, "obs_hourly"),
     "w7_fill_both_ways_blocked": _fill_query(OBS_DAILY, "obs_daily"),
     "w8_w9_centred_band": _BAND,

@@ -79,9 +79,9 @@ base AS (SELECT horizon, sqrt(avg((y - pred) * (y - pred))) AS baseline_rmse FRO
   WHERE model = 'half_way' AND y IS NOT NULL AND split = 'train' GROUP BY horizon),
 rolling AS (SELECT DISTINCT series_id, horizon, date_trunc('day', datetime) AS day,
   sqrt(avg((y - pred) * (y - pred)) OVER (PARTITION BY series_id, horizon ORDER BY date_trunc('day', datetime)
-    RANGE BETWEEN INTERVAL 2 DAY PRECEDING AND CURRENT ROW)) AS rolling_rmse
+    RANGE BETWEEN INTERVAL 29 DAY PRECEDING AND CURRENT ROW)) AS rolling_rmse
   FROM naive WHERE model = 'half_way' AND y IS NOT NULL AND split <> 'train'),
-drifted AS (SELECT r.*, baseline_rmse, rolling_rmse > 1.02e0 * baseline_rmse AS drifted FROM rolling r JOIN base USING (horizon))"""
+drifted AS (SELECT r.*, baseline_rmse, rolling_rmse > 1.2e0 * baseline_rmse AS drifted FROM rolling r JOIN base USING (horizon))"""
 
 _BOXES = f"WITH {OBS_DAILY}, {CALENDAR} " + " UNION ALL ".join(_box(m) for m in ("temp", "humidity", "precip"))
 
@@ -116,7 +116,7 @@ ORACLES = {
     "g9_box_statistics_bracketed": _BOXES,
     "g9_outliers": f"WITH {OBS_DAILY}, {CALENDAR} SELECT c.season, datetime, {r('precip')} FROM cal c JOIN (SELECT season, quantile_cont(precip, 0.25) AS q1, quantile_cont(precip, 0.75) AS q3 FROM cal GROUP BY season) b ON b.season = c.season WHERE precip < q1 - 1.5e0 * (q3 - q1) OR precip > q3 + 1.5e0 * (q3 - q1)",
     "g10_lines": f"WITH {OBS_HOURLY} " + " UNION ALL ".join(_line(x, y) for x, y in (("temp", "precip"), ("solarradiation", "temp"), ("temp", "humidity"))),
-    "g11_point_pairs": q(OBS_HOURLY, rs(["humidity", "windspeed"]), "obs_hourly", "WHERE humidity IS NOT NULL AND windspeed IS NOT NULL"),
+    "g11_point_pairs": q(OBS_HOURLY, rs(["humidity", "precip"]), "obs_hourly", "WHERE humidity IS NOT NULL AND precip IS NOT NULL"),
     "g12_g15_metrics": q(NAIVE, f"model, split, horizon, {METRIC_SQL}", "naive", "WHERE y IS NOT NULL GROUP BY model, split, horizon"),
     "m13_evaluate_per_horizon": q(NAIVE, f"horizon, {METRIC_SQL}", "naive", "WHERE y IS NOT NULL AND model = 'last_value' AND split = 'test' GROUP BY horizon"),
     "g17_mean_over_folds": q(BLEND, f"trial, horizon, {r('val_rmse')}, n_folds", "trials"),

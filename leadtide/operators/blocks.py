@@ -222,9 +222,24 @@ def over_series(
 
     ``back`` and ``ahead`` say how many rows the frames in ``add`` reach. ``scope`` columns
     restart the windows (splits, folds) and must cut a series into runs of consecutive rows.
+    Where series are cut, a frame that reaches farther is refused: it would stop at block borders.
     """
     wide = enter(df, layout, back, ahead)
-    return leave(add(wide, layout.window(scope)), layout)
+    window = layout.window(scope)
+    return leave(add(wide, _within(window, back, ahead) if layout.blocked else window), layout)
+
+
+def _within(window: WindowSpec, back: int, ahead: int) -> WindowSpec:
+    """The window, with frames of rows limited to what the copied rows cover."""
+    plain = window.rowsBetween
+
+    def rows_between(start: int, end: int) -> WindowSpec:
+        if start < -back or end > ahead:
+            raise ValueError(f"frame {start}..{end} reaches over a block border: only {back} rows back and {ahead} ahead are there")
+        return plain(start, end)
+
+    window.rowsBetween = rows_between
+    return window
 
 
 def row_index(df: DataFrame, layout: SeriesLayout, idx: str = "idx", n: str | None = None) -> DataFrame:

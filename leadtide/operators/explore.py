@@ -81,10 +81,12 @@ def density(df: DataFrame, column: str = TARGET, points: int = 200) -> DataFrame
     """Gaussian kernel density on a grid from minimum to maximum, bandwidth n^(-1/5) * deviation.
 
     A value meets the fixed grid in its own task, which adds up each grid point: the shuffle has
-    ``points`` rows per task.
+    ``points`` rows per task. Fewer than two known values, or equal ones, have no density: no rows.
     """
     x = F.col(column)
     s = df.agg(F.min(x).alias("lo"), F.max(x).alias("hi"), F.count(x).alias("n"), F.stddev_samp(x).alias("sd")).first()
+    if not s["sd"]:
+        return df.sparkSession.createDataFrame([], "point int, x double, density double")
     bw = s["n"] ** -0.2 * s["sd"]
     step = (s["hi"] - s["lo"]) / (points - 1)
     known = df.where(x.isNotNull()).select(x.alias("x"))

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from leadtide.config import DEFAULT_ALPHA, DEFAULT_L1_RATIO, PATIENCE, pred_name, target_name
 from leadtide.operators.sums import one_label, product_sums, solve_many
+from leadtide.session import shared_folder
 
 FEATURES = "features"
 
@@ -193,10 +194,10 @@ def decision_tree(label: str, max_depth: int = 30, max_bins: int = 256) -> Decis
     )
 
 
-def random_forest(label: str, trees: int = 100, max_depth: int = 10, leaf: int = 5) -> RandomForestRegressor:
+def random_forest(label: str, trees: int = 100, max_depth: int = 10, leaf: int = 5, max_bins: int = 256) -> RandomForestRegressor:
     return RandomForestRegressor(
         featuresCol=FEATURES, labelCol=label, numTrees=trees, maxDepth=max_depth, minInstancesPerNode=leaf,
-        featureSubsetStrategy="all", seed=42, maxMemoryInMB=1024,
+        featureSubsetStrategy="all", maxBins=max_bins, seed=42, maxMemoryInMB=1024,
     )
 
 
@@ -207,13 +208,19 @@ def boosted_trees(
     max_depth: int = 6,
     subsample: float = 1.0,
     colsample: float = 1.0,
+    max_bins: int = 256,
 ) -> GBTRegressor:
     """Gradient boosting on squared error. Columns are drawn per node, not per tree; penalties on
-    leaf weights have no counterpart in Spark and are ignored."""
+    leaf weights have no counterpart in Spark and are ignored.
+
+    Spark cuts the lineage of the rounds only if a checkpoint folder is set, so one is set here."""
+    spark = SparkSession.getActiveSession()
+    if spark is not None and spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(shared_folder(spark))
     return GBTRegressor(
         featuresCol=FEATURES, labelCol=label, maxIter=n_estimators, stepSize=learning_rate, maxDepth=max_depth,
         subsamplingRate=subsample, featureSubsetStrategy="all" if colsample >= 1 else str(colsample), seed=42,
-        maxMemoryInMB=1024,
+        maxBins=max_bins, checkpointInterval=10, maxMemoryInMB=1024,
     )
 
 

@@ -58,7 +58,7 @@ def _place(c: str, n_probs: int) -> str:
         lo, hi, base = f"{b}[{2 * i}]", f"{b}[{2 * i + 1}]", i * (SLICES + 2)
         if i:
             cases.append(f"WHEN {v} < {lo} THEN {base - 1}")
-        cases.append(f"WHEN {v} <= {hi} THEN {base} + if({hi} > {lo}, CAST(({v} - {lo}) / ({hi} - {lo}) * {SLICES} AS INT), 0)")
+        cases.append(f"WHEN {v} <= {hi} THEN {base} + if({hi} > {lo}, coalesce(try_cast(({v} - {lo}) / ({hi} - {lo}) * {SLICES} AS INT), {SLICES}), 0)")
         inside.append(f"{v} BETWEEN {lo} AND {hi}")
     last = n_probs * (SLICES + 2) - 1
     return (f"if({v} IS NULL, NULL, struct('{c}' AS feature, CASE {' '.join(cases)} ELSE {last} END AS cell, "
@@ -133,7 +133,7 @@ def exact_quantiles(
     found = ranked.groupBy(*keys, "feature", "n").agg(*picks)
     values = ", ".join(
         f"CASE WHEN lo{i} IS NULL OR hi{i} IS NULL THEN CAST(raise_error('quantile outside its bracket') AS DOUBLE) "
-        f"ELSE lo{i} + (hi{i} - lo{i}) * ({p!r}D * (n - 1) - floor({p!r}D * (n - 1))) END"
+        f"WHEN lo{i} = hi{i} THEN lo{i} ELSE lo{i} + (hi{i} - lo{i}) * ({p!r}D * (n - 1) - floor({p!r}D * (n - 1))) END"
         for i, p in enumerate(probs)
     )
     return found.selectExpr(*[f"`{b}`" for b in by], "feature", "n", f"array({values}) AS quantiles")

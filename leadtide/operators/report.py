@@ -83,14 +83,19 @@ def residuals(actual: DataFrame, predicted: DataFrame, y: str, pred: str, keys:
 
 
 def train_beside_test(metrics: DataFrame, how: str = "left") -> DataFrame:
-    """Train metrics with test metrics of the same model and horizon; mape exists for test only."""
-    on = ["model", "horizon"]
-    parts = {}
+    """Train metrics with test metrics of the same model and horizon; mape exists for test only.
+
+    ``metrics`` has one row per model, horizon and kind, so one conditional aggregate replaces a join.
+    """
+    aggs = []
     for kind in ("Train", "Test"):
-        side = metrics.where(F.col("metric_type") == kind)
-        parts[kind] = side.select(*on, *[F.col(m).alias(f"{m}_{kind.lower()}") for m in ("rmse", "mae", "r2")],
-                                  *(["mape"] if kind == "Test" else []))
-    return parts["Train"].join(parts["Test"], on, how)
+        own = F.col("metric_type") == kind
+        aggs += [F.max(F.when(own, F.col(m))).alias(f"{m}_{kind.lower()}") for m in ("rmse", "mae", "r2")]
+    test = F.col("metric_type") == "Test"
+    aggs += [F.max(F.when(test, F.col("mape"))).alias("mape"), F.count_if(F.col("metric_type") == "Train").alias("_train"),
+             F.count_if(test).alias("_test")]
+    both = metrics.groupBy("model", "horizon").agg(*aggs)
+    return both.where("_train > 0" if how == "left" else "_train > 0 AND _test > 0").drop("_train", "_test")
 
 
 def with_gap(beside: DataFrame) -> DataFrame:

@@ -82,9 +82,10 @@ def fill_gaps(
     columns: Sequence[str],
     scope: Sequence[str] = (),
     last_resort: float | None = 0.0,
+    backward: bool = True,
 ) -> DataFrame:
-    """Forward fill, then backward fill what is left at the start, then a constant."""
-    filled = fill_inside(enter(df, layout), layout, columns, scope, last_resort)
+    """Forward fill, then (``backward``) backward fill what is left at the start, then a constant."""
+    filled = fill_inside(enter(df, layout), layout, columns, scope, last_resort, backward)
     return leave(filled, layout)
 
 
@@ -94,6 +95,7 @@ def fill_inside(
     columns: Sequence[str],
     scope: Sequence[str] = (),
     last_resort: float | None = 0.0,
+    backward: bool = True,
 ) -> DataFrame:
     """``fill_gaps`` for a frame that has its blocks already (see ``enter``).
 
@@ -105,10 +107,8 @@ def fill_inside(
     whole = layout.over("UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING", scope)
     rest = "" if last_resort is None else f", {float(last_resort)!r}D"
     if not layout.blocked:
-        return _replace(
-            df,
-            {c: f"coalesce(last(`{c}`) IGNORE NULLS {so_far}, first(`{c}`) IGNORE NULLS {whole}{rest})" for c in columns},
-        )
+        heads = {c: f", first(`{c}`) IGNORE NULLS {whole}" if backward else "" for c in columns}
+        return _replace(df, {c: f"coalesce(last(`{c}`) IGNORE NULLS {so_far}{heads[c]}{rest}, NULL)" for c in columns})
 
     # Long series: per block the first and last known value, carried from block to block. That
     # table has one row per block and scope, so its windows stay small.
@@ -129,7 +129,7 @@ def fill_inside(
     local = _replace(df, {c: f"last(`{c}`) IGNORE NULLS {so_far}" for c in columns})
     joined = local.join(carried, [*run, BLOCK], "left")
     return _replace(
-        joined, {c: f"coalesce(`{c}`, `_in_{c}`, `_head_{c}`{rest})" for c in columns}, names
+        joined, {c: f"coalesce(`{c}`, `_in_{c}`{f', `_head_{c}`' if backward else ''}{rest})" for c in columns}, names
     )
 
 

@@ -71,7 +71,8 @@ def forecast_metrics(
     trained = train(ready, columns, params, layout.rows)
     long = to_long(score(ready, trained), horizons, [*layout.keys, layout.time, "split"])
     kind = F.when(F.col("split") == "test", "Test").otherwise("Train")
-    metrics = evaluate(long.where(F.col("y").isNotNull()).withColumn("metric_type", kind), ["metric_type", "horizon"])
+    # A horizon without known labels keeps its row, with n_rows 0 and NULL metrics.
+    metrics = evaluate(long.withColumn("metric_type", kind), ["metric_type", "horizon"])
     return long, metrics, trained
 
 

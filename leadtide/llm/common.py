@@ -1,8 +1,8 @@
-"""What the operators share: reading, written tables, row keys and slices of Arrow output."""
+"""What the operators share: reading, written tables, row keys and free names."""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -51,10 +51,3 @@ def unused(df: DataFrame, *names: str) -> list[str]:
 def blobs(column: pa.Array) -> list[bytes]:
     """UTF-8 of each text, null as empty."""
     return [b or b"" for b in column.cast(pa.binary() if pa.types.is_string(column.type) else pa.large_binary()).to_pylist()]
-
-
-def in_slices(rows: list[tuple], schema: pa.Schema, step: int = 4096) -> Iterator[pa.RecordBatch]:
-    """Rows as Arrow batches of bounded length."""
-    for at in range(0, len(rows), step):
-        columns = zip(*rows[at : at + step], strict=True)
-        yield pa.record_batch([pa.array(c, t) for c, t in zip(columns, schema.types, strict=True)], schema=schema)

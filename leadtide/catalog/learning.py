@@ -10,7 +10,8 @@ from leadtide.catalog.basics import KEY, TARGETS, folded
 from leadtide.catalog.rounding import rounded
 from leadtide.catalog.worked import HORIZONS
 from leadtide.config import (
-    DAILY, FOLDS, HOURLY, HOURLY_HORIZONS, MEASURES, N_ESTIMATORS_RANGE, NUM_LEAVES_RANGE, TREE_RANGES,
+    DAILY, FOLDS, HOURLY, HOURLY_HORIZONS, MEASURES, N_ESTIMATORS_RANGE, NUM_LEAVES_RANGE, PATIENCE,
+    TREE_RANGES,
 )
 from leadtide.operators.evaluate import evaluate, to_long
 from leadtide.operators.features import feature_pipeline
@@ -26,6 +27,13 @@ from leadtide.session import scratch_table
 from leadtide.sources.adapters import at_most_rows
 from leadtide.sources.stores import LINES, load_models, read_table, save_models, write_table
 
+#: The full work of the jobs. Small values belong in unit tests only.
+LINEAR_TRIALS = 300
+TREE_TRIALS = 50
+BENCHMARK_ROUNDS = 1000
+#: A horizon without tuned parameters takes the library's own rate.
+UNTUNED = {"n_estimators": 100, "learning_rate": 0.3}
+
 TREE_COLUMNS = ["humidity", "windgust", "precip", "temp_lag_24h", "temp_rolling_avg_24h", "hour_sin", "hour_cos"]
 
 
@@ -161,16 +169,16 @@ def _tree(estimator):
 def m11_trees_per_horizon(spark: SparkSession, sf: str) -> DataFrame:
     ready = worked.feature_table(spark, sf, "hourly").persist()
     models = fit_boosted_per_horizon(
-        ready.where(F.col("part") == "fit"), TREE_COLUMNS, {h: {"n_estimators": 8, "max_depth": 3} for h in (1, 7)}
+        ready.where(F.col("part") == "fit"), TREE_COLUMNS, {h: UNTUNED for h in HORIZONS}
     )
-    long = to_long(score_models(ready, models, TREE_COLUMNS), (1, 7), ["split"])
+    long = to_long(score_models(ready, models, TREE_COLUMNS), HORIZONS, ["split"])
     return rounded(evaluate(long.where(F.col("y").isNotNull()), ["split", "horizon"]))
 
 
 def m10_early_stopping(spark: SparkSession, sf: str) -> DataFrame:
     data, fit = _tree_data(spark, sf)
     val = data.where(F.col("split") == "val")
-    model, rounds = fit_boosted_with_stop(fit, val, "target_t1", 40, patience=5, max_depth=3)
+    model, rounds = fit_boosted_with_stop(fit, val, "target_t1", BENCHMARK_ROUNDS, patience=PATIENCE)
     scored = model.transform(data).select("split", F.col("target_t1").alias("y"), F.col("prediction").alias("pred"))
     return rounded(evaluate(scored, ["split"]).withColumn("best_iteration", F.lit(rounds)))
 
@@ -178,16 +186,16 @@ def m10_early_stopping(spark: SparkSession, sf: str) -> DataFrame:
 def m14_bake_off(spark: SparkSession, sf: str) -> DataFrame:
     df, _ = worked.split_daily(spark, sf)
     table, columns = bake_off_table(df, DAILY, 1, at_most=at_most_rows(spark, sf, "lineitem"))
-    return rounded(bake_off(table, columns, 1, boost_rounds=20, patience=5, forest_trees=20))
+    return rounded(bake_off(table, columns, 1))
 
 
 # Tuning
 
 
 def m15_linear_search(spark: SparkSession, sf: str) -> DataFrame:
-    """Best of 40 trials per horizon on purged folds of the daily series."""
+    """Best of 300 trials per horizon on purged folds of the daily series."""
     df, _ = worked.split_daily(spark, sf)
-    trials, _ = search_linear(df, DAILY, HORIZONS, gap=7, n_trials=40, at_most=at_most_rows(spark, sf, "lineitem"))
+    trials, _ = search_linear(df, DAILY, HORIZONS, gap=7, n_trials=LINEAR_TRIALS, at_most=at_most_rows(spark, sf, "lineitem"))
     return rounded(best_trial(trials))
 
 
@@ -195,7 +203,7 @@ def m15_tree_search(spark: SparkSession, sf: str) -> DataFrame:
     """Trials of boosted trees with early stopping on purged folds of the daily series."""
     df, _ = worked.split_daily(spark, sf)
     rows = at_most_rows(spark, sf, "lineitem")
-    return rounded(search_trees(df, DAILY, (1,), 7, 2, TREE_RANGES, max_rounds=6, patience=2, at_most=rows))
+    return rounded(search_trees(df, DAILY, HORIZONS, 7, TREE_TRIALS, TREE_RANGES, at_most=rows))
 
 
 def m16_draw_linear(spark: SparkSession, sf: str) -> DataFrame:
@@ -222,8 +230,8 @@ QUERIES = {
     "m5_lasso_one_input": _one_input("Lasso", 7.5),
     "m6_elastic_net_one_input": _one_input("ElasticNet", 20.0, 0.3),
     "m7_decision_tree": _tree(lambda: decision_tree("target_t1")),
-    "m8_random_forest": _tree(lambda: random_forest("target_t1", trees=30)),
-    "m9_boosted_trees": _tree(lambda: boosted_trees("target_t1", 15, 0.1, 4, 0.8, 0.8)),
+    "m8_random_forest": _tree(lambda: random_forest("target_t1")),
+    "m9_boosted_trees": _tree(lambda: boosted_trees("target_t1", BENCHMARK_ROUNDS)),
     "m10_early_stopping": m10_early_stopping,
     "m11_trees_per_horizon": m11_trees_per_horizon,
     "m11_m12_one_input_all_horizons": m11_m12_one_input_all_horizons,

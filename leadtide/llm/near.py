@@ -5,9 +5,12 @@ four words is one shingle). Shingles weigh 1 + log2 of how often the text has th
 each shingle emit points of a Poisson process of that rate; a point falls on one of ``bands * rows``
 components, each component keeps the earliest, and a document stops once the next point of a shingle
 comes after the latest kept one. Equal components estimate the probability Jaccard similarity.
-Bands of components are buckets. Two documents are linked if they share a bucket and the Jaccard
-similarity of their sets is ``least`` or more; classes are the connected components of the links.
-With 24 bands of 5 a pair at 0.8 shares no bucket with probability 7e-5.
+Bands of components are buckets. A text that has a shingle twice or more also has the buckets of the
+signature with all weights 1; without repeats the two signatures are one. So every two documents
+are compared by their plain sets too, however often one of them repeats a part. Two documents are
+linked if they share a bucket and the Jaccard similarity of their sets is ``least`` or more; classes
+are the connected components of the links. With 24 bands of 5 a pair at 0.8 shares no bucket with
+probability 7e-5 at most.
 
 Documents with one set are one node from the start. Each bucket first compares its nodes with one
 pivot, the node that shares buckets with most others; links are joined up, and another pivot follows.
@@ -125,17 +128,28 @@ def _sketches(bands: int, rows: int):
         import xxhash
 
         salts = _odd(rows)
+
+        def buckets(hashes: np.ndarray, weights: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+            sign = signatures(hashes, weights, bounds, bands * rows).reshape(-1, bands, rows)
+            return _mix((sign * salts).sum(axis=2, dtype=np.uint64) + np.arange(bands, dtype=np.uint64)).view(np.int64)
+
         for whole in batches:
             for batch in bounded(whole, 2, rows=1024):
                 hashes, counts, bounds = shingle_sets(batch.column("text"))
-                sign = signatures(hashes, 1.0 + np.log2(counts), bounds, bands * rows).reshape(-1, bands, rows)
-                banded = _mix((sign * salts).sum(axis=2, dtype=np.uint64) + np.arange(bands, dtype=np.uint64)).view(np.int64)
                 sizes = np.diff(bounds)
+                banded = list(buckets(hashes, 1.0 + np.log2(counts), bounds))
+                owner = np.repeat(np.arange(len(sizes)), sizes)
+                again = np.unique(owner[counts > 1])
+                ends = np.concatenate([[0], np.cumsum(sizes[again])])
+                inside = np.isin(owner, again)
+                for i, plain in zip(again, buckets(hashes[inside], np.ones(inside.sum()), ends), strict=True):
+                    banded[i] = np.unique(np.concatenate([banded[i], plain]))
+                banded = [b if n else b[:0] for b, n in zip(banded, sizes, strict=True)]
                 digest = [xxhash.xxh3_128_digest(hashes[s:e].tobytes()) for s, e in zip(bounds[:-1], bounds[1:], strict=True)]
-                offsets = np.concatenate([[0], np.cumsum(np.where(sizes > 0, bands, 0))])
+                offsets = np.concatenate([[0], np.cumsum([len(b) for b in banded])])
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id"), batch.column("row"), pa.array(digest, pa.binary()), pa.array(sizes, pa.int32()),
-                     pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(banded[sizes > 0].ravel()))],
+                     pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.concatenate(banded)))],
                     names=["doc_id", "row", "digest", "n", "bands"],
                 )
 

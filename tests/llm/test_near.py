@@ -31,6 +31,18 @@ def test_chains_of_links_form_one_class(spark):
     assert {r.doc_id: r.class_id for r in near.classes(frame).collect()} == near_classes(rows)
 
 
+def test_a_part_repeated_in_one_copy_hides_no_pair(spark):
+    rows = []
+    for i in range(12):  # sets at 100 of 124, whatever the line is repeated
+        words = [f"w{i}-{k}" for k in range(104)]
+        line = [f"r{i}-{k}" for k in range(20)]
+        rows += [(2 * i, " ".join(words)), (2 * i + 1, " ".join(words + line * 200))]
+    want = near_classes(rows)
+    assert len(set(want.values())) == 12
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert {r.doc_id: r.class_id for r in near.classes(frame).collect()} == want
+
+
 def test_signatures_estimate_probability_jaccard():
     rng = np.random.default_rng(1)
     hashes = np.sort(rng.integers(0, 2**63, 900).astype(np.uint64))

@@ -57,6 +57,38 @@ def test_every_block_runs_in_its_window(spark):
     assert (whole.groupby("source").place.diff().dropna() == 90).all()
 
 
+def earliest_deadline_first(blocks: dict[str, int], shares: dict[str, int]) -> dict:
+    """(source, block) -> (slot, release, deadline), slot by slot."""
+    done, out, period, base = dict.fromkeys(blocks, 0), {}, 0, 0
+    life = {s: -(-n // shares.get(s, 1)) for s, n in blocks.items()}
+    while active := sorted(s for s in blocks if life[s] > period):
+        slots = sum(shares.get(s, 1) for s in active)
+        run = dict.fromkeys(active, 0)
+        for t in range(slots):
+            offers = [(-(-(run[s] + 1) * slots // n), s, run[s] * slots // n) for s in active if run[s] < (n := shares.get(s, 1)) and run[s] * slots // n <= t]
+            deadline, s, release = min(offers)
+            if (b := period * shares.get(s, 1) + run[s]) < blocks[s]:
+                out[s, b] = base + t, base + release, base + deadline
+            run[s] += 1
+        base, period = base + slots, period + 1
+    return out
+
+
+@pytest.mark.parametrize("shares", [{"s004": 4}, {"s002": 3, "s030": 5, "s017": 2, "s059": 7}, {f"s{i:03}": 2 + i % 3 for i in range(60)}])
+def test_schedule_slot_by_slot(spark, shares):
+    blocks = {f"s{i:03}": 1 + i * i % 23 for i in range(60)}
+    sizes = spark.createDataFrame([(s, shares.get(s, 1), n) for s, n in blocks.items()], "s_key string, share bigint, blocks bigint")
+    got = {(r.key, r.block): (r.slot, r.release, r.deadline) for r in mixing.schedule(sizes).collect()}
+    assert got == earliest_deadline_first(blocks, shares)
+
+
+def test_thousands_of_sources_are_mixed(spark):
+    frame = spark.range(3000).select(F.col("id").alias("doc_id"), F.lit("x" * 90).alias("text"), F.concat(F.lit("src"), F.col("id") % 1500).alias("source"))
+    got = mixing.mix(frame, block=50).toPandas()
+    assert len(got) == 3000 and ((got.release <= got.slot) & (got.slot < got.deadline)).all()
+    assert (got.groupby("slot")[["source", "block"]].nunique() == 1).all().all()
+
+
 def test_mixing_odd_rows(spark):
     docs = crowded(spark)
     assert mixing.mix(docs, bucket=10).count() == len(ROWS)

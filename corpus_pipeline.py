@@ -35,8 +35,12 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of documents in windows of tokens."""
-    return packing.piece_digests(packing.pack_documents(docs))
+    """Pieces of documents in windows of tokens, numbered along the mix.
+
+    A reader deals files out by their size, so the order of the mix is derived anew from the rows.
+    """
+    ordered = mixing.in_order(docs.select("doc_id", "text", "source"))
+    return packing.piece_digests(packing.pack_documents(ordered))
 
 
 STAGES = [

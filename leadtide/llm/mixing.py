@@ -164,8 +164,11 @@ def mix(
     )
 
 
-def in_order(docs: DataFrame, **how) -> DataFrame:
-    """The rows of ``docs`` in the order of the mix, with their own columns only."""
-    mixed = mix(docs, **how)
+def in_order(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **how) -> DataFrame:
+    """The rows of ``docs`` in the order of the mix, with their own columns only.
+
+    Rows at one place are ordered too, so that only equal ids and texts can change places.
+    """
+    mixed = mix(docs, doc_id, text, **how)
     slot, place = mixed.columns[-4], mixed.columns[-1]
-    return mixed.orderBy(slot, place).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return mixed.orderBy(slot, place, F.col(doc_id).asc_nulls_last(), F.xxhash64(text)).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -220,6 +220,10 @@ def _sampled(docs: DataFrame, labels: DataFrame, doc_id: str, text: str, categor
     # At most ``sample`` rows: a proven bound.
     some = F.broadcast(one.orderBy(F.xxhash64("l_id"), "l_id").limit(sample))
     rows = docs.select(F.col(doc_id).cast("bigint").alias("l_id"), F.coalesce(F.col(text), F.lit("")).alias("text")).join(some, "l_id")
+    # One row per id, so that ``sample`` bounds the rows as well as the ids.
+    first = F.min(F.struct(F.xxhash64("text").alias("h"), "text")).alias("first")
+    ys = [f"y{c}" for c in range(len(categories))]
+    rows = rows.groupBy("l_id", *ys).agg(first).select("l_id", F.col("first.text").alias("text"), *ys)
     fold = F.pmod(F.xxhash64(F.lit(1), "l_id"), F.lit(folds)).cast("int").alias("fold")
     return rows.select("text", fold, *[f"y{c}" for c in range(len(categories))])
 

@@ -100,6 +100,15 @@ def test_mixing_odd_rows(spark):
 
 
 # Toxicity
+def test_sample_bounds_rows_of_a_repeated_id(spark):
+    docs = spark.createDataFrame([(i if i < 20 else 3, f"text {i}") for i in range(500)] + [(None, "x")], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(20)], "doc_id bigint, quality int, toxic int")
+    got = toxicity._sampled(docs, labels, "doc_id", "text", toxicity.CATEGORIES, 10, 5)
+    assert got.count() <= 10
+    all_ids = toxicity._sampled(docs, labels, "doc_id", "text", toxicity.CATEGORIES, 100, 5)
+    assert all_ids.count() == all_ids.select("text").distinct().count() == 20
+
+
 def test_chain_learns_stems_and_leaves_the_rest(spark):
     rng = random.Random(2)
     plain = ["".join(rng.choice("abdegilmnorstu") for _ in range(rng.randint(2, 9))) for _ in range(3000)]

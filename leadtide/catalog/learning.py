@@ -14,7 +14,7 @@ from leadtide.config import (
     TREE_RANGES,
 )
 from leadtide.operators.evaluate import evaluate, to_long
-from leadtide.operators.features import feature_pipeline
+from leadtide.operators.features import feature_pipeline, final_columns
 from leadtide.operators.models import (
     LinearParams, assemble, boosted_trees, decision_tree, fit_boosted_per_horizon, fit_boosted_with_stop, fit_linear_by_sums,
     fit_linear_per_horizon, label_statistics, linear_estimator, linear_model_rows, linear_models_from_rows, random_forest, score_linear, score_models,
@@ -34,8 +34,6 @@ BENCHMARK_ROUNDS = 1000
 #: A horizon without tuned parameters takes the library's own rate.
 UNTUNED = {"n_estimators": 100, "learning_rate": 0.3}
 
-TREE_COLUMNS = ["humidity", "windgust", "precip", "temp_lag_24h", "temp_rolling_avg_24h", "hour_sin", "hour_cos"]
-
 
 # Scaling
 
@@ -125,16 +123,16 @@ def a7_saved_models(spark: SparkSession, sf: str) -> DataFrame:
     from pyspark.ml import PipelineModel
 
     df, layout = worked.daily(spark, sf)
-    ready, columns = prepared_features(df, layout, DAILY, (1, 7))
+    ready, columns = prepared_features(df, layout, DAILY, HORIZONS)
     ready = ready.persist()
     fit = ready.where(F.col("part") == "fit")
     scaler = fit_robust_scaler(fit, columns, layout.rows)
-    models = fit_linear_per_horizon(apply_robust_scaler(fit, scaler), columns, {h: LinearParams() for h in (1, 7)})
+    models = fit_linear_per_horizon(apply_robust_scaler(fit, scaler), columns, {h: LinearParams() for h in HORIZONS})
     path = scratch_table(spark, "models")
     save_models({h: PipelineModel(stages=[m]) for h, m in models.items()}, path)
-    loaded = {h: p.stages[0] for h, p in load_models(path, (1, 7)).items()}
+    loaded = {h: p.stages[0] for h, p in load_models(path, HORIZONS).items()}
     scored = score_models(apply_robust_scaler(ready, scaler), loaded, columns)
-    return rounded(evaluate(to_long(scored, (1, 7), ["split"]).where(F.col("y").isNotNull()), ["split", "horizon"]))
+    return rounded(evaluate(to_long(scored, HORIZONS, ["split"]).where(F.col("y").isNotNull()), ["split", "horizon"]))
 
 
 def a7_saved_lines(spark: SparkSession, sf: str) -> DataFrame:
@@ -153,7 +151,7 @@ def a7_saved_lines(spark: SparkSession, sf: str) -> DataFrame:
 
 def _tree_data(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     ready = worked.feature_table(spark, sf, "hourly").where(F.col("target_t1").isNotNull())
-    data = assemble(ready, TREE_COLUMNS).persist()
+    data = assemble(ready, final_columns(ready.columns, HOURLY)).persist()
     return data, data.where(F.col("split") == "train")
 
 
@@ -168,10 +166,11 @@ def _tree(estimator):
 
 def m11_trees_per_horizon(spark: SparkSession, sf: str) -> DataFrame:
     ready = worked.feature_table(spark, sf, "hourly").persist()
+    columns = final_columns(ready.columns, HOURLY)
     models = fit_boosted_per_horizon(
-        ready.where(F.col("part") == "fit"), TREE_COLUMNS, {h: UNTUNED for h in HORIZONS}
+        ready.where(F.col("part") == "fit"), columns, {h: UNTUNED for h in HORIZONS}
     )
-    long = to_long(score_models(ready, models, TREE_COLUMNS), HORIZONS, ["split"])
+    long = to_long(score_models(ready, models, columns), HORIZONS, ["split"])
     return rounded(evaluate(long.where(F.col("y").isNotNull()), ["split", "horizon"]))
 
 

@@ -7,7 +7,7 @@ import inspect
 import pytest
 
 from leadtide.catalog import learning
-from leadtide.config import DAILY_HORIZONS
+from leadtide.config import DAILY_HORIZONS, HOURLY
 from leadtide.operators.models import boosted_trees, random_forest
 from leadtide.operators.tuning import search_trees
 from leadtide.plans.chain import bake_off
@@ -51,3 +51,15 @@ def test_trees_grow_all_rounds(spark, monkeypatch):
     assert (got["max_rounds"], got["patience"]) == (1000, 100)
     got = arguments(monkeypatch, spark, "m11_trees_per_horizon", "fit_boosted_per_horizon", learning.fit_boosted_per_horizon)
     assert tuple(got["params"]) == DAILY_HORIZONS and all(p["n_estimators"] == 100 for p in got["params"].values())
+
+
+def test_trees_read_all_features(spark, monkeypatch):
+    got = arguments(monkeypatch, spark, "m7_decision_tree", "assemble", learning.assemble)
+    assert tuple(got["columns"]) == HOURLY.columns
+    got = arguments(monkeypatch, spark, "m11_trees_per_horizon", "fit_boosted_per_horizon", learning.fit_boosted_per_horizon)
+    assert tuple(got["columns"]) == HOURLY.columns
+
+
+def test_models_of_all_horizons_are_saved(spark, monkeypatch):
+    got = arguments(monkeypatch, spark, "a7_saved_models", "fit_linear_per_horizon", learning.fit_linear_per_horizon)
+    assert tuple(got["params"]) == DAILY_HORIZONS

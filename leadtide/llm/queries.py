@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from itertools import combinations
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from leadtide.llm import exact, language, lines, mixing, near, order, packing, quality, secret_scan, toxicity
+from leadtide.llm import audit, exact, language, lines, mixing, near, order, packing, quality, secret_scan, sharding, toxicity, turns
 from leadtide.llm.common import documents
 
 
@@ -52,6 +55,20 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(documents(spark, sf_dir))
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.audit(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def op12_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return turns.repair_digests(turns.damaged(spark.read.parquet(f"{sf_dir}/conversations.parquet")))
+
+
+def op13_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shards(documents(spark, sf_dir)).select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+    )
+
+
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_exact_dedup": op2_exact_dedup,
@@ -63,6 +80,9 @@ QUERIES = {
     "op8_training_order": op8_training_order,
     "op9_quality_rules": op9_quality_rules,
     "op10_language": op10_language,
+    "op11_filter_audit": op11_filter_audit,
+    "op12_turn_repair": op12_turn_repair,
+    "op13_hilbert_shards": op13_hilbert_shards,
 }
 
 
@@ -96,6 +116,95 @@ SELECT doc_id, {", ".join(f"coalesce(n_{r.kind}, 0) AS n_{r.kind}" for r in secr
 FROM d LEFT JOIN n USING (doc_id)
 """
 
+def _audit_sql() -> str:
+    """Each order of the filters against each combination of failures."""
+    letters = ", ".join(f"('{x}')" for x in "ABCDE")
+    unlike = " AND ".join(f"{x}.f <> {y}.f" for x, y in combinations("abcde", 2))
+    return rf"""
+WITH t AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text FROM documents),
+w AS (
+  SELECT *, list_filter(string_split_regex(text, '[ 	-
+]+'), lambda x: x <> '') AS ws, min(doc_id) OVER (PARTITION BY text) AS first FROM t
+), f AS (
+  SELECT doc_id, part, CASE WHEN len(ws) < 50 THEN 'A' ELSE '' END || CASE WHEN 100 * len(list_distinct(ws)) < 65 * len(ws) THEN 'B' ELSE '' END
+    || CASE WHEN 100 * (length(text) - length(regexp_replace(text, '[A-Z]', '', 'g'))) > 5 * length(text) THEN 'C' ELSE '' END
+    || CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 'D' ELSE '' END || CASE WHEN doc_id > first THEN 'E' ELSE '' END AS fails
+  FROM w
+), l AS (
+  SELECT doc_id, bool_or(quality IS NOT DISTINCT FROM 1) AS good, bool_or(toxic IS NOT DISTINCT FROM 1) AS toxic FROM labels GROUP BY doc_id
+), c AS (
+  SELECT part, fails, count(*) AS n, count(*) FILTER (WHERE good) AS good, count(*) FILTER (WHERE toxic) AS toxic
+  FROM f LEFT JOIN l USING (doc_id) GROUP BY part, fails
+), v(f) AS (VALUES {letters}),
+o AS (SELECT a.f || b.f || c.f || d.f || e.f AS filter_order FROM v a, v b, v c, v d, v e WHERE {unlike}),
+s AS (SELECT filter_order, unnest(range(1, 6)) AS step FROM o),
+x AS (
+  SELECT part, filter_order, step, substr(filter_order, step, 1) AS f, c.*, contains(fails, substr(filter_order, step, 1)) AS bad,
+    len(list_filter(string_split(fails, ''), lambda y: y <> '' AND contains(substr(filter_order, 1, step - 1), y))) > 0 AS out
+  FROM c, s
+), r AS (
+  SELECT part, filter_order, step, f, coalesce(sum(n) FILTER (WHERE NOT out AND NOT bad), 0)::BIGINT AS kept,
+    coalesce(sum(n) FILTER (WHERE bad AND NOT out), 0)::BIGINT AS removed, coalesce(sum(n) FILTER (WHERE bad AND out), 0)::BIGINT AS redundant,
+    coalesce(sum(n) FILTER (WHERE fails = f), 0)::BIGINT AS unique_fails, coalesce(sum(good) FILTER (WHERE bad AND NOT out), 0)::BIGINT AS good_lost,
+    coalesce(sum(toxic) FILTER (WHERE bad AND NOT out), 0)::BIGINT AS toxic_lost
+  FROM x GROUP BY ALL
+)
+SELECT part, filter_order, step::INT AS step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+  (sum(removed) OVER (PARTITION BY part, f))::BIGINT AS shapley
+FROM r
+"""
+
+
+#: CRC-32 of a text's UTF-8 in SQL: the table of 256 remainders from its rule, then byte by byte.
+CRC_TABLE = """
+SELECT list(list_reduce(range(8), lambda a, k: xor(a >> 1, (a & 1) * 3988292384), i) ORDER BY i) AS remainders FROM range(256) r(i)
+"""
+
+
+def crc_sql(text: str, table: str) -> str:
+    pairs = f"list_transform(regexp_extract_all(hex(encode({text})), '..'), lambda h: ('0x' || h)::BIGINT)"
+    return f"xor(list_reduce({pairs}, lambda a, b: xor(a >> 8, {table}[(xor(a, b) & 255) + 1]), 4294967295), 4294967295)"
+
+
+def _shards_sql() -> str:
+    """Bins by rank, the curve's turns one select after the other, then ranks cut into runs."""
+    dims, bits = ["lang", "source", "size"], sharding.BITS
+    bins = ", ".join(f"((rank() OVER (ORDER BY {d} NULLS FIRST) - 1) * {1 << bits}) // count(*) OVER () AS x{i}" for i, d in enumerate(dims))
+    stages, at = [], "b"
+    for level in range(bits - 1, 0, -1):
+        q = 1 << level
+        for i in range(len(dims)):
+            name = f"s{level}_{i}"
+            turn = f"CASE WHEN x{i} & {q} <> 0 THEN {q - 1} ELSE xor(x0, x{i}) & {q - 1} END"
+            other = f", CASE WHEN x{i} & {q} <> 0 THEN x{i} ELSE xor(x{i}, xor(x0, x{i}) & {q - 1}) END AS x{i}" if i else ""
+            stages.append(f"{name} AS (SELECT * REPLACE (xor(x0, {turn}) AS x0{other}) FROM {at})")
+            at = name
+    twist = "0"
+    for level in range(bits - 1, 0, -1):
+        twist = f"xor({twist}, CASE WHEN g2 & {1 << level} <> 0 THEN {(1 << level) - 1} ELSE 0 END)"
+    curve = " + ".join(
+        f"((xor(g{i}, t) >> {level}) & 1) * {1 << (level * len(dims) + len(dims) - 1 - i)}" for level in range(bits) for i in range(len(dims))
+    )
+    return f"""
+WITH c AS ({CRC_TABLE}),
+d AS (
+  SELECT doc_id, lang, source, octet_length(encode(coalesce(text, ''))) + 1 AS size, {crc_sql("coalesce(text, '')", "remainders")} AS text_crc32
+  FROM documents, c
+), b AS (SELECT *, {bins} FROM d),
+{", ".join(stages)},
+g AS (SELECT *, x0 AS g0, xor(x1, x0) AS g1, xor(x2, xor(x1, x0)) AS g2 FROM {at}),
+h AS (SELECT *, {twist} AS t FROM g),
+k AS (SELECT *, {curve} AS curve FROM h),
+r AS (
+  SELECT *, row_number() OVER (ORDER BY curve, lang NULLS FIRST, source NULLS FIRST, size, doc_id NULLS FIRST, text_crc32) - 1 AS place, count(*) OVER () AS n
+  FROM k
+), p AS (SELECT *, (place * {sharding.SHARDS}) // n AS shard FROM r)
+SELECT doc_id, size::BIGINT AS size, text_crc32::BIGINT AS text_crc32, 'rows' AS law, shard::INT AS shard,
+  (place - (shard * n + {sharding.SHARDS - 1}) // {sharding.SHARDS})::BIGINT AS slot, NULL::INT AS grown_shard
+FROM p
+"""
+
+
 ORACLES = {
     "op1_line_dedup": r"""
 WITH l AS (
@@ -157,6 +266,8 @@ SELECT doc_id, source, block, base + (block // share - from_p) * slots + slot AS
 FROM o JOIN s USING (source) WHERE block % share = j AND block // share >= from_p AND block // share < to_p
 """,
     "op6_secret_scan": _secrets_sql(),
+    "op11_filter_audit": _audit_sql(),
+    "op13_hilbert_shards": _shards_sql(),
     "op9_quality_rules": r"""
 WITH t AS (
   SELECT doc_id, source, coalesce(text, '') AS text,

@@ -319,7 +319,7 @@ def folded(spark: SparkSession, sf: str, blocked: bool = False) -> tuple[DataFra
     if blocked:
         from leadtide.operators.blocks import lay_out
 
-        layout = lay_out(kept, block_rows=BLOCK)
+        layout = lay_out(kept, block_rows=BLOCK, unique=True)
     return assign_folds(kept, layout, gap=7), layout
 
 

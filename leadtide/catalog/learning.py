@@ -10,29 +10,35 @@ from leadtide.catalog.basics import KEY, TARGETS, folded
 from leadtide.catalog.rounding import rounded
 from leadtide.catalog.worked import HORIZONS
 from leadtide.config import (
-    DAILY, FOLDS, HOURLY, HOURLY_HORIZONS, MEASURES, N_ESTIMATORS_RANGE, NUM_LEAVES_RANGE, PATIENCE,
-    TREE_RANGES,
+    DAILY, DAILY_GAP_ROWS, FOLDS, HOURLY, HOURLY_GAP_ROWS, HOURLY_HORIZONS, LEAF_RATE, LEAST_LEAF_ROWS, LEAVES, MEASURES,
+    N_ESTIMATORS_RANGE, NEXT_DAY_HORIZONS, NUM_LEAVES_RANGE, PATIENCE, TREE_RANGES,
 )
 from leadtide.operators.evaluate import evaluate, to_long
 from leadtide.operators.features import feature_pipeline, final_columns
+from leadtide.operators.boosting import Boost, boost, boost_per_horizon, score_boosted
 from leadtide.operators.models import (
-    LinearParams, assemble, boosted_trees, decision_tree, fit_boosted_per_horizon, fit_boosted_with_stop, fit_linear_by_sums,
-    fit_linear_per_horizon, label_statistics, linear_estimator, linear_model_rows, linear_models_from_rows, random_forest, score_linear, score_models,
+    LinearParams, assemble, decision_tree, fit_linear_by_sums, fit_linear_per_horizon, label_statistics, linear_estimator,
+    linear_model_rows, linear_models_from_rows, random_forest, score_linear, score_models,
 )
 from leadtide.operators.report import best_trial
 from leadtide.operators.scaling import apply_robust_scaler, fit_robust_scaler, robust_constants, scale_per_group
 from leadtide.operators.tuning import draw_linear, draw_trees, search_linear, search_trees
-from leadtide.plans.chain import bake_off, bake_off_table, forecast_metrics, prepared_features
-from leadtide.session import scratch_table
+from leadtide.plans.chain import bake_off, bake_off_table, forecast_metrics, linear_parameters, prepare, prepared_features, score, train
+from leadtide.plans.jobs import load_job, save_job
+from leadtide.session import scratch_table, stored
 from leadtide.sources.adapters import at_most_rows
-from leadtide.sources.stores import LINES, load_models, read_table, save_models, write_table
+from leadtide.sources.stores import LINES, PARAMETERS, load_models, parameter_rows, read_table, save_models, write_table
 
 #: The full work of the jobs. Small values belong in unit tests only.
 LINEAR_TRIALS = 300
 TREE_TRIALS = 50
 BENCHMARK_ROUNDS = 1000
 #: A horizon without tuned parameters takes the library's own rate.
-UNTUNED = {"n_estimators": 100, "learning_rate": 0.3}
+UNTUNED = {"rounds": 100, "learning_rate": 0.3}
+UNTUNED_LEAVES = {
+    "rounds": 100, "learning_rate": LEAF_RATE, "max_depth": LEAVES, "num_leaves": LEAVES, "least_rows": LEAST_LEAF_ROWS, "reg_lambda": 0.0,
+}
+LEAF_RANGES = {**TREE_RANGES, "n_estimators": N_ESTIMATORS_RANGE, "num_leaves": NUM_LEAVES_RANGE}
 
 
 # Scaling
@@ -124,7 +130,7 @@ def a7_saved_models(spark: SparkSession, sf: str) -> DataFrame:
 
     df, layout = worked.daily(spark, sf)
     ready, columns = prepared_features(df, layout, DAILY, HORIZONS)
-    ready = ready.persist()
+    ready = stored(ready, "features")
     fit = ready.where(F.col("part") == "fit")
     scaler = fit_robust_scaler(fit, columns, layout.rows)
     models = fit_linear_per_horizon(apply_robust_scaler(fit, scaler), columns, {h: LinearParams() for h in HORIZONS})
@@ -149,37 +155,71 @@ def a7_saved_lines(spark: SparkSession, sf: str) -> DataFrame:
 # Trees
 
 
-def _tree_data(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    ready = worked.feature_table(spark, sf, "hourly").where(F.col("target_t1").isNotNull())
-    data = assemble(ready, final_columns(ready.columns, HOURLY)).persist()
-    return data, data.where(F.col("split") == "train")
+def _tree_data(spark: SparkSession, sf: str) -> tuple[DataFrame, list[str]]:
+    ready = stored(worked.feature_table(spark, sf, "hourly").where(F.col("target_t1").isNotNull()), "features")
+    return ready, final_columns(ready.columns, HOURLY)
+
+
+def _by_split(scored: DataFrame) -> DataFrame:
+    return evaluate(scored.select("split", F.col("target_t1").alias("y"), F.col("prediction").alias("pred")), ["split"])
 
 
 def _tree(estimator):
     def query(spark: SparkSession, sf: str) -> DataFrame:
-        data, fit = _tree_data(spark, sf)
-        scored = estimator().fit(fit).transform(data)
-        return rounded(evaluate(scored.select("split", F.col("target_t1").alias("y"), F.col("prediction").alias("pred")), ["split"]))
+        ready, columns = _tree_data(spark, sf)
+        data = assemble(ready, columns)
+        return rounded(_by_split(estimator().fit(data.where(F.col("split") == "train")).transform(data)))
 
     return query
 
 
+def m9_boosted_trees(spark: SparkSession, sf: str) -> DataFrame:
+    """A thousand rounds on the training part."""
+    ready, columns = _tree_data(spark, sf)
+    params = {1: {"rounds": BENCHMARK_ROUNDS, "learning_rate": 0.05}}
+    models = boost_per_horizon(ready.where(F.col("split") == "train"), columns, params)
+    return rounded(_by_split(score_boosted(ready, {"prediction": models[1]}, columns)))
+
+
 def m11_trees_per_horizon(spark: SparkSession, sf: str) -> DataFrame:
-    ready = worked.feature_table(spark, sf, "hourly").persist()
-    columns = final_columns(ready.columns, HOURLY)
-    models = fit_boosted_per_horizon(
-        ready.where(F.col("part") == "fit"), columns, {h: UNTUNED for h in HORIZONS}
-    )
-    long = to_long(score_models(ready, models, columns), HORIZONS, ["split"])
-    return rounded(evaluate(long.where(F.col("y").isNotNull()), ["split", "horizon"]))
+    df, layout = worked.hourly(spark, sf)
+    return rounded(forecast_metrics(df, layout, HOURLY, {h: UNTUNED for h in HORIZONS})[1])
+
+
+def m11_next_day_chain(spark: SparkSession, sf: str) -> DataFrame:
+    """The job of the next 24 hours: a model for each hour ahead, best leaf first."""
+    df, layout = worked.hourly(spark, sf)
+    return rounded(forecast_metrics(df, layout, HOURLY, {h: UNTUNED_LEAVES for h in NEXT_DAY_HORIZONS})[1])
 
 
 def m10_early_stopping(spark: SparkSession, sf: str) -> DataFrame:
-    data, fit = _tree_data(spark, sf)
-    val = data.where(F.col("split") == "val")
-    model, rounds = fit_boosted_with_stop(fit, val, "target_t1", BENCHMARK_ROUNDS, patience=PATIENCE)
-    scored = model.transform(data).select("split", F.col("target_t1").alias("y"), F.col("prediction").alias("pred"))
-    return rounded(evaluate(scored, ["split"]).withColumn("best_iteration", F.lit(rounds)))
+    """Boosting that stops when the validation part has not improved for 100 rounds."""
+    ready, columns = _tree_data(spark, sf)
+    params = {1: {"rounds": BENCHMARK_ROUNDS, "learning_rate": 0.05, "patience": PATIENCE}}
+    model = boost_per_horizon(ready.where(F.col("split") != "test"), columns, params, F.col("split") == "train")[1]
+    return rounded(_by_split(score_boosted(ready, {"prediction": model}, columns)).withColumn("best_iteration", F.lit(model.best)))
+
+
+def m9_one_split(spark: SparkSession, sf: str) -> DataFrame:
+    """One round with two leaves and both penalties: the split and the leaf weights."""
+    ready, _ = _tree_data(spark, sf)
+    data = ready.select(F.lit(0).alias("group"), F.xxhash64(*KEY).alias("id"), F.lit(True).alias("train"), "visibility", "target_t1")
+    leaf = Boost("target_t1", rounds=1, learning_rate=1.0, max_depth=3, num_leaves=2, reg_alpha=5.0, reg_lambda=2.0)
+    model = boost(data, ["visibility"], [leaf])[0]
+    threshold = float(model.cuts[0][model.cut[0]])
+    scored = score_boosted(data, {"pred": model}, ["visibility"])
+    side = F.when(F.col("visibility") <= threshold, "left").otherwise("right")
+    leaves = scored.groupBy(side.alias("side")).agg(F.count("*").alias("n_rows"), F.avg("pred").alias("pred"))
+    return rounded(leaves.withColumn("threshold", F.lit(threshold)), 4)
+
+
+def m7_one_split(spark: SparkSession, sf: str) -> DataFrame:
+    """A decision tree of depth one: rows and mean of its two leaves."""
+    ready, _ = _tree_data(spark, sf)
+    data = assemble(ready, ["visibility"])
+    scored = decision_tree("target_t1", max_depth=1).fit(data).transform(data)
+    leaves = scored.groupBy("prediction").agg(F.count("*").alias("n_rows"), F.max("visibility").alias("top"), F.min("visibility").alias("bottom"))
+    return rounded(leaves, 4)
 
 
 def m14_bake_off(spark: SparkSession, sf: str) -> DataFrame:
@@ -198,11 +238,54 @@ def m15_linear_search(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(best_trial(trials))
 
 
+def m15_linear_search_hourly(spark: SparkSession, sf: str) -> DataFrame:
+    """300 trials per horizon of 24 to 168 hours, folds with a gap of 168 rows."""
+    df, rows = _split_far(spark, sf)
+    trials, _ = search_linear(df, HOURLY, HOURLY_HORIZONS, HOURLY_GAP_ROWS, LINEAR_TRIALS, at_most=rows)
+    return rounded(best_trial(trials))
+
+
 def m15_tree_search(spark: SparkSession, sf: str) -> DataFrame:
     """Trials of boosted trees with early stopping on purged folds of the daily series."""
     df, _ = worked.split_daily(spark, sf)
     rows = at_most_rows(spark, sf, "lineitem")
-    return rounded(search_trees(df, DAILY, HORIZONS, 7, TREE_TRIALS, TREE_RANGES, at_most=rows))
+    return rounded(search_trees(df, DAILY, HORIZONS, DAILY_GAP_ROWS, TREE_TRIALS, TREE_RANGES, at_most=rows))
+
+
+def m15_tree_search_hourly(spark: SparkSession, sf: str) -> DataFrame:
+    """The same on the hourly series, horizons of 24 to 168 hours and a gap of 168 rows."""
+    df, rows = _split_far(spark, sf)
+    return rounded(search_trees(df, HOURLY, HOURLY_HORIZONS, HOURLY_GAP_ROWS, TREE_TRIALS, TREE_RANGES, at_most=rows))
+
+
+def m15_leaf_search_hourly(spark: SparkSession, sf: str) -> DataFrame:
+    """Trials that grow the best leaf first, with drawn rounds and numbers of leaves."""
+    df, rows = _split_far(spark, sf)
+    return rounded(search_trees(df, HOURLY, HOURLY_HORIZONS, HOURLY_GAP_ROWS, TREE_TRIALS, LEAF_RANGES, patience=None, at_most=rows))
+
+
+def _split_far(spark: SparkSession, sf: str) -> tuple[DataFrame, int]:
+    """Hourly rows with targets of 24 to 168 hours ahead and split label."""
+    df, layout = worked.hourly(spark, sf)
+    return prepare(df, layout, HOURLY_HORIZONS), at_most_rows(spark, sf, "events")
+
+
+def m14_bake_off_hourly(spark: SparkSession, sf: str) -> DataFrame:
+    df, rows = _split_far(spark, sf)
+    table, columns = bake_off_table(df, HOURLY, HOURLY_HORIZONS[0], at_most=rows)
+    return rounded(bake_off(table, columns, HOURLY_HORIZONS[0]))
+
+
+def m15_searched_chain(spark: SparkSession, sf: str) -> DataFrame:
+    """Search, table of parameters, training with them (defaults where a horizon has none), metrics."""
+    split, _ = worked.split_daily(spark, sf)
+    trials, _ = search_linear(split, DAILY, HORIZONS, gap=DAILY_GAP_ROWS, n_trials=LINEAR_TRIALS, at_most=at_most_rows(spark, sf, "lineitem"))
+    path = scratch_table(spark, "parameters")
+    found = best_trial(trials).withColumn("model", F.lit("linear"))
+    write_table(parameter_rows(found, ["kind", "alpha", "l1_ratio"]), path)
+    params = linear_parameters(read_table(spark, path, PARAMETERS), HORIZONS)
+    df, layout = worked.daily(spark, sf)
+    return rounded(forecast_metrics(df, layout, DAILY, params)[1])
 
 
 def m16_draw_linear(spark: SparkSession, sf: str) -> DataFrame:
@@ -213,8 +296,18 @@ def m16_draw_linear(spark: SparkSession, sf: str) -> DataFrame:
 
 def m16_draw_trees(spark: SparkSession, sf: str) -> DataFrame:
     studies = worked.hourly(spark, sf)[0].select("series_id").distinct()
-    ranges = {**TREE_RANGES, "n_estimators": N_ESTIMATORS_RANGE, "num_leaves": NUM_LEAVES_RANGE}
-    return rounded(draw_trees(studies, 50, 42, ["series_id"], ranges))
+    return rounded(draw_trees(studies, 50, 42, ["series_id"], LEAF_RANGES))
+
+
+def a7_saved_chain(spark: SparkSession, sf: str) -> DataFrame:
+    """A fitted job, stored as a whole, read back by another session of the cluster, scored and evaluated."""
+    df, layout = worked.hourly(spark, sf)
+    ready = stored(prepared_features(df, layout, HOURLY, HORIZONS)[0], "features")
+    path = scratch_table(spark, "job")
+    save_job(spark, train(ready, ["windgust"], {h: LinearParams() for h in HORIZONS}, layout.rows), path)
+    scored = score(ready, load_job(spark.newSession(), path))
+    kind = F.when(F.col("split") == "test", "Test").otherwise("Train")
+    return rounded(evaluate(to_long(scored, HORIZONS, ["split"]).withColumn("metric_type", kind), ["metric_type", "horizon"]), 4)
 
 
 QUERIES = {
@@ -230,17 +323,26 @@ QUERIES = {
     "m6_elastic_net_one_input": _one_input("ElasticNet", 20.0, 0.3),
     "m7_decision_tree": _tree(lambda: decision_tree("target_t1")),
     "m8_random_forest": _tree(lambda: random_forest("target_t1")),
-    "m9_boosted_trees": _tree(lambda: boosted_trees("target_t1", BENCHMARK_ROUNDS)),
+    "m7_one_split": m7_one_split,
+    "m9_boosted_trees": m9_boosted_trees,
+    "m9_one_split": m9_one_split,
     "m10_early_stopping": m10_early_stopping,
     "m11_trees_per_horizon": m11_trees_per_horizon,
     "m11_m12_one_input_all_horizons": m11_m12_one_input_all_horizons,
     "m11_m13_daily_chain": m11_m13_daily_chain,
     "m11_m13_hourly_chain": m11_m13_hourly_chain,
+    "m11_next_day_chain": m11_next_day_chain,
     "a7_saved_models": a7_saved_models,
+    "a7_saved_chain": a7_saved_chain,
     "a7_saved_lines": a7_saved_lines,
     "m14_bake_off": m14_bake_off,
+    "m14_bake_off_hourly": m14_bake_off_hourly,
     "m15_linear_search": m15_linear_search,
+    "m15_linear_search_hourly": m15_linear_search_hourly,
     "m15_tree_search": m15_tree_search,
+    "m15_tree_search_hourly": m15_tree_search_hourly,
+    "m15_leaf_search_hourly": m15_leaf_search_hourly,
+    "m15_searched_chain": m15_searched_chain,
     "m16_draw_linear": m16_draw_linear,
     "m16_draw_trees": m16_draw_trees,
 }

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from leadtide.catalog.oracles_basics import (
-    DAILY_COLUMNS, FEATURES_DAILY, FOLDED, H, KEY, MODEL_MEASURES, OBS_HOURLY, SPLIT_HOURLY, TARGETS, r, rs,
+    DAILY_COLUMNS, FEATURES_DAILY, FOLDED, H, KEY, MODEL_MEASURES, OBS_HOURLY, SPLIT_HOURLY, TARGETS, part_of, r, rs,
 )
 
 
@@ -45,7 +45,44 @@ _ALL_HORIZONS = f"WITH {SPLIT_HOURLY} " + " UNION ALL ".join(
 
 _G16 = f"WITH {FEATURES_DAILY}, {_FIT}, c AS (" + " UNION ALL ".join(_constants("fit", m) for m in MODEL_MEASURES) + f") SELECT {_WITH_SCALE.format(front='')} FROM c"
 
+_CHAIN_ROWS = " UNION ALL ".join(
+    f"SELECT CASE WHEN split = 'test' THEN 'Test' ELSE 'Train' END AS metric_type, {h} AS horizon, target_t{h} AS y, "
+    f"CASE WHEN target_t{h} IS NOT NULL THEN a + b * x END AS pred FROM x, "
+    f"(SELECT regr_intercept(target_t{h}, x) AS a, regr_slope(target_t{h}, x) AS b FROM x WHERE part = 'fit')" for h in range(1, H + 1))
+_SAVED_CHAIN = f"""WITH {SPLIT_HOURLY}, {part_of('split_hourly', 'parted')}, x AS (
+  SELECT *, last_value(windgust IGNORE NULLS) OVER (PARTITION BY series_id, part ORDER BY datetime) AS x FROM parted
+), p AS ({_CHAIN_ROWS})
+SELECT metric_type, horizon, count(pred) AS n_rows, {r('sqrt(avg((y - pred) ** 2))', 'rmse', 4)}, {r('avg(abs(y - pred))', 'mae', 4)},
+  {r('1 - sum((y - pred) ** 2) / (count(pred) * var_pop(CASE WHEN pred IS NOT NULL THEN y END))', 'r2', 4)},
+  {r('avg(abs(y - pred) / greatest(abs(y), 2.220446049250313e-16))', 'mape', 4)}
+FROM p GROUP BY ALL"""
+
+_LABELLED = f"WITH {SPLIT_HOURLY}, k AS (SELECT visibility AS v, target_t1 AS y FROM split_hourly WHERE target_t1 IS NOT NULL)"
+_EVERY_CUT = """c AS (
+  SELECT v, sum(n) OVER (ORDER BY v) AS ln, sum(g) OVER (ORDER BY v) AS lg, sum(n) OVER () AS n, sum(g) OVER () AS g
+  FROM (SELECT v, count(*) AS n, sum(base - y) AS g FROM k, (SELECT avg(y) AS base FROM k) GROUP BY v)
+)"""
+
+
+def _soft(g: str) -> str:
+    return f"(sign({g}) * greatest(abs({g}) - 5, 0))"
+
+
+_ONE_SPLIT = f"""{_LABELLED}, {_EVERY_CUT}, s AS (
+  SELECT *, {_soft('lg')} ** 2 / (ln + 2) + {_soft('(g - lg)')} ** 2 / (n - ln + 2) AS gain FROM c WHERE ln < n ORDER BY gain DESC, v LIMIT 1
+), b AS (SELECT avg(y) AS base FROM k)
+SELECT 'left' AS side, ln::BIGINT AS n_rows, {r(f"base - {_soft('lg')} / (ln + 2)", 'pred', 4)}, {r('v', 'threshold', 4)} FROM s, b
+UNION ALL
+SELECT 'right', (n - ln)::BIGINT, {r(f"base - {_soft('(g - lg)')} / (n - ln + 2)", 'pred', 4)}, {r('v', 'threshold', 4)} FROM s, b"""
+_ONE_TREE = f"""{_LABELLED}, {_EVERY_CUT}, s AS (
+  SELECT v AS split_at FROM c WHERE ln < n ORDER BY lg ** 2 / ln + (g - lg) ** 2 / (n - ln) DESC, v LIMIT 1
+)
+SELECT {r('avg(y)', 'prediction', 4)}, count(*) AS n_rows, {r('max(v)', 'top', 4)}, {r('min(v)', 'bottom', 4)} FROM k, s GROUP BY v <= split_at"""
+
 ORACLES = {
+    "a7_saved_chain": _SAVED_CHAIN,
+    "m7_one_split": _ONE_TREE,
+    "m9_one_split": _ONE_SPLIT,
     "g16_robust_constants": _G16,
     "g16_robust_constants_bracketed": _G16,
     "m2_robust_scale": f"WITH {FEATURES_DAILY}, " + _scaled("features", MODEL_MEASURES, "part = 'fit'", "", f"{KEY}, part"),

@@ -21,15 +21,15 @@ NAIVE = ("last_value", "lag_mean_24", "half_way")
 def hourly(spark: SparkSession, sf: str, block_rows: int | None = None) -> tuple[DataFrame, SeriesLayout]:
     df = obs_hourly(spark, sf)
     if block_rows:
-        return df, lay_out(df, block_rows=block_rows)
-    return df, lay_out(df, at_most=at_most_rows(spark, sf, "events"))
+        return df, lay_out(df, block_rows=block_rows, unique=True)
+    return df, lay_out(df, at_most=at_most_rows(spark, sf, "events"), unique=True)
 
 
 def daily(spark: SparkSession, sf: str, block_rows: int | None = None) -> tuple[DataFrame, SeriesLayout]:
     df = obs_daily(spark, sf)
     if block_rows:
-        return df, lay_out(df, block_rows=block_rows)
-    return df, lay_out(df, at_most=at_most_rows(spark, sf, "lineitem"))
+        return df, lay_out(df, block_rows=block_rows, unique=True)
+    return df, lay_out(df, at_most=at_most_rows(spark, sf, "lineitem"), unique=True)
 
 
 def split_hourly(spark: SparkSession, sf: str, block_rows: int | None = None) -> tuple[DataFrame, SeriesLayout]:

@@ -52,6 +52,11 @@ NUM_LEAVES_RANGE = (20, 150, "int")
 MAX_ROUNDS = 2000
 PATIENCE = 100
 
+# Defaults of growth by best leaf.
+LEAVES = 31
+LEAST_LEAF_ROWS = 20
+LEAF_RATE = 0.1
+
 
 @dataclass(frozen=True)
 class FeatureSpec:

@@ -10,6 +10,11 @@ block are copied over, so that no task ever holds more than one block and result
 The cut works on small equal-width time cells: a cell number is plain arithmetic on the
 timestamp, cell counts give the position of every block, and both lookup tables are bounded by
 the number of blocks, never by the number of rows.
+
+One rule for equal times, at every size: time and the tie columns of the layout must tell the rows
+of a series apart, and one time may have a quarter block of rows at most. ``lay_out`` refuses other
+frames by an aggregate, unless the caller knows that the rows are told apart (a ``groupBy`` made
+them so). Rows of one time are ordered by the tie columns, nulls first.
 """
 
 from __future__ import annotations
@@ -39,7 +44,7 @@ _EARLIER = "_from_earlier"
 class SeriesLayout:
     """How the rows of one frame are cut. ``spans`` and ``cells`` are None when nothing is cut.
 
-    ``rows`` is an upper bound for the number of rows of the frame.
+    ``rows`` is an upper bound for the number of rows of the frame. ``ties`` order rows of one time.
     """
 
     keys: tuple[str, ...] = KEYS
@@ -49,6 +54,12 @@ class SeriesLayout:
     cells: DataFrame | None = None
     broadcast_cells: bool = True
     rows: int | None = None
+    ties: tuple[str, ...] = ()
+
+    @property
+    def order(self) -> list[str]:
+        """What orders the rows of a series."""
+        return [self.time, *self.ties]
 
     @property
     def blocked(self) -> bool:
@@ -65,10 +76,11 @@ class SeriesLayout:
     def over(self, frame: str, scope: Sequence[str] = ()) -> str:
         """The same window as SQL text, for expressions over many columns."""
         keys = ", ".join(f"`{k}`" for k in self.partition(scope))
-        return f"OVER (PARTITION BY {keys} ORDER BY `{self.time}` ROWS BETWEEN {frame})"
+        order = ", ".join(f"`{c}`" for c in self.order)
+        return f"OVER (PARTITION BY {keys} ORDER BY {order} ROWS BETWEEN {frame})"
 
     def window(self, scope: Sequence[str] = ()) -> WindowSpec:
-        return Window.partitionBy(*self.partition(scope)).orderBy(self.time)
+        return Window.partitionBy(*self.partition(scope)).orderBy(*self.order)
 
 
 def micros(time: str) -> Column:
@@ -84,16 +96,21 @@ def lay_out(
     time: str = TIME,
     block_rows: int = BLOCK_ROWS,
     at_most: int | None = None,
+    ties: Sequence[str] = (),
+    unique: bool = False,
 ) -> SeriesLayout:
     """Look at the series lengths of ``df`` and decide whether its series must be cut.
 
     ``at_most`` is a known upper bound for the rows of ``df`` (for example the row count of the
     table it is aggregated from, which Parquet footers answer); if it is small, no pass is made.
-    The layout holds for exactly these rows: lay out the frame that is windowed.
+    The layout holds for exactly these rows: lay out the frame that is windowed. ``unique`` says that
+    time and ``ties`` are known to tell the rows of a series apart.
     """
-    keys = tuple(keys)
+    keys, ties = tuple(keys), tuple(ties)
+    if not unique:
+        check_order(df, keys, time, ties, block_rows)
     if at_most is not None and at_most <= block_rows:
-        return SeriesLayout(keys, time, block_rows, rows=at_most)
+        return SeriesLayout(keys, time, block_rows, rows=at_most, ties=ties)
 
     sizes = df.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n"),
@@ -102,7 +119,7 @@ def lay_out(
     )
     seen = sizes.agg(F.sum("n").alias("total"), F.max("n").alias("longest")).first()
     if not seen["longest"] or seen["longest"] <= block_rows:
-        return SeriesLayout(keys, time, block_rows, rows=seen["total"] or 0)
+        return SeriesLayout(keys, time, block_rows, rows=seen["total"] or 0, ties=ties)
 
     # At most MAX_BLOCKS blocks in all, hence at most that many long series and a bounded lookup.
     rows = max(block_rows, math.ceil(seen["total"] / MAX_BLOCKS))
@@ -157,7 +174,21 @@ def lay_out(
             F.sum("n").over(Window.partitionBy(*keys)).alias(_TOTAL),
         )
     )
-    return SeriesLayout(keys, time, rows, spans, cells, cells.count() <= BROADCAST_ROWS, seen["total"])
+    return SeriesLayout(keys, time, rows, spans, cells, cells.count() <= BROADCAST_ROWS, seen["total"], ties)
+
+
+def check_order(df: DataFrame, keys: Sequence[str], time: str, ties: Sequence[str] = (), block_rows: int = BLOCK_ROWS) -> None:
+    """Refuse a frame with two rows of a series that agree in time and ties, or with too many of one time."""
+    same = df.groupBy(*keys, time, *ties).agg(F.count(F.lit(1)).alias("_n"))
+    if ties:
+        same = same.groupBy(*keys, time).agg(F.max("_n").alias("_n"), F.sum("_n").alias("_all"))
+    else:
+        same = same.withColumn("_all", F.col("_n"))
+    worst = same.agg(F.max("_n").alias("same"), F.max("_all").alias("all")).first()
+    if worst["same"] and worst["same"] > 1:
+        raise ValueError(f"{[time, *ties]} does not order the rows of a series: {worst['same']} rows agree; name more tie columns")
+    if worst["all"] and worst["all"] > max(1, block_rows // 4):
+        raise ValueError(f"{worst['all']} rows of a series share one {time}: more than a quarter of a block of {block_rows} rows")
 
 
 def _with_cell(df: DataFrame, spans: DataFrame, keys: Sequence[str], time: str) -> DataFrame:
@@ -230,7 +261,7 @@ def over_series(
 
 
 def _within(window: WindowSpec, back: int, ahead: int) -> WindowSpec:
-    """The window, with frames of rows limited to what the copied rows cover."""
+    """The window, with frames of rows limited to what the copied rows cover and no way around them."""
     plain = window.rowsBetween
 
     def rows_between(start: int, end: int) -> WindowSpec:
@@ -238,7 +269,11 @@ def _within(window: WindowSpec, back: int, ahead: int) -> WindowSpec:
             raise ValueError(f"frame {start}..{end} reaches over a block border: only {back} rows back and {ahead} ahead are there")
         return plain(start, end)
 
+    def refused(*_) -> WindowSpec:
+        raise ValueError("where series are cut, a window has frames of rows in the order it came with")
+
     window.rowsBetween = rows_between
+    window.rangeBetween = window.orderBy = window.partitionBy = refused
     return window
 
 

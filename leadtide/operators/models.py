@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
@@ -10,14 +11,13 @@ from pyspark import inheritable_thread_target
 from pyspark.ml import Model
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import (
-    DecisionTreeRegressor, GBTRegressor, LinearRegression, RandomForestRegressor,
+    DecisionTreeRegressor, LinearRegression, RandomForestRegressor,
 )
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leadtide.config import DEFAULT_ALPHA, DEFAULT_L1_RATIO, PATIENCE, pred_name, target_name
+from leadtide.config import DEFAULT_ALPHA, DEFAULT_L1_RATIO, pred_name, target_name
 from leadtide.operators.sums import one_label, product_sums, solve_many
-from leadtide.session import shared_folder
 
 FEATURES = "features"
 
@@ -69,9 +69,28 @@ def label_statistics(df: DataFrame, labels: Sequence[str]) -> dict[str, tuple[in
 
 
 def side_by_side(spark: SparkSession, jobs: Sequence[Callable[[], object]], threads: int = 4) -> list:
-    """Submit independent Spark jobs from a few driver threads; each job runs on the executors."""
+    """Submit independent Spark jobs from a few driver threads; each job runs on the executors.
+
+    If one fails, or the wait is interrupted, what waits is dropped and what runs is cancelled.
+    """
+    tag = f"side-by-side-{uuid.uuid4().hex}"
+    context = spark.sparkContext
+
+    def tagged(job: Callable[[], object]) -> object:
+        context.addJobTag(tag)
+        try:
+            return job()
+        finally:
+            context.removeJobTag(tag)
+
     with ThreadPoolExecutor(max_workers=threads) as pool:
-        return [f.result() for f in [pool.submit(inheritable_thread_target(spark)(j)) for j in jobs]]
+        running = [pool.submit(inheritable_thread_target(spark)(lambda j=j: tagged(j))) for j in jobs]
+        try:
+            return [f.result() for f in running]
+        except BaseException:
+            pool.shutdown(wait=False, cancel_futures=True)
+            context.cancelJobsWithTag(tag)
+            raise
 
 
 def fit_linear_per_horizon(
@@ -199,84 +218,3 @@ def random_forest(label: str, trees: int = 100, max_depth: int = 10, leaf: int =
         featuresCol=FEATURES, labelCol=label, numTrees=trees, maxDepth=max_depth, minInstancesPerNode=leaf,
         featureSubsetStrategy="all", maxBins=max_bins, seed=42, maxMemoryInMB=1024,
     )
-
-
-def boosted_trees(
-    label: str,
-    n_estimators: int,
-    learning_rate: float = 0.05,
-    max_depth: int = 6,
-    subsample: float = 1.0,
-    colsample: float = 1.0,
-    max_bins: int = 256,
-) -> GBTRegressor:
-    """Gradient boosting on squared error. Columns are drawn per node, not per tree; penalties on
-    leaf weights have no counterpart in Spark and are ignored.
-
-    Spark cuts the lineage of the rounds only if a checkpoint folder is set, so one is set here."""
-    spark = SparkSession.getActiveSession()
-    if spark is not None and spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_folder(spark))
-    return GBTRegressor(
-        featuresCol=FEATURES, labelCol=label, maxIter=n_estimators, stepSize=learning_rate, maxDepth=max_depth,
-        subsamplingRate=subsample, featureSubsetStrategy="all" if colsample >= 1 else str(colsample), seed=42,
-        maxBins=max_bins, checkpointInterval=10, maxMemoryInMB=1024,
-    )
-
-
-def stop_early(losses: Sequence[float], patience: int = PATIENCE) -> int:
-    """Rounds to keep: the best one seen before ``patience`` rounds bring nothing better."""
-    best, at = float("inf"), 0
-    for i, loss in enumerate(losses):
-        if loss < best:
-            best, at = loss, i
-        elif i - at >= patience:
-            break
-    return at + 1
-
-
-def boost_until_stop(
-    train: DataFrame, val: DataFrame, label: str, max_rounds: int, patience: int = PATIENCE, **params
-) -> tuple[Model, int, float]:
-    """Boost and judge each round on the validation part: the model, its best round, and the mean
-    squared error there.
-
-    Rounds are grown in steps, so that a model that stops early is not grown to the end; the model
-    returned may have rounds beyond the best one.
-    """
-    rounds = min(max_rounds, patience + 1)
-    while True:
-        model = boosted_trees(label, rounds, **params).fit(train)
-        losses = model.evaluateEachIteration(val, "squared")
-        best = stop_early(losses, patience)
-        if rounds - best >= patience or rounds == max_rounds:
-            return model, best, losses[best - 1]
-        rounds = min(max_rounds, max(rounds * 2, best + patience))
-
-
-def fit_boosted_with_stop(
-    train: DataFrame, val: DataFrame, label: str, max_rounds: int, patience: int = PATIENCE, **params
-) -> tuple[Model, int]:
-    """``boost_until_stop``, refitted up to the best round. Both frames should be cached."""
-    model, best, _ = boost_until_stop(train, val, label, max_rounds, patience, **params)
-    if best == model.getNumTrees:
-        return model, best
-    return boosted_trees(label, best, **params).fit(train), best
-
-
-def fit_boosted_per_horizon(
-    df: DataFrame, columns: Sequence[str], params: dict[int, dict], threads: int = 3
-) -> dict[int, Model]:
-    """Boosted trees per horizon on rows with a known target. ``df`` should be cached.
-
-    ``params`` has the arguments of ``boosted_trees``; an untuned horizon takes 100 rounds.
-    """
-    ready = assemble(df, columns)
-
-    def job(h: int, p: dict):
-        y = target_name(h)
-        args = {"n_estimators": 100, **p}
-        return lambda: boosted_trees(y, **args).fit(ready.where(F.col(y).isNotNull()).select(FEATURES, y))
-
-    jobs = [job(h, p) for h, p in params.items()]
-    return dict(zip(params, side_by_side(df.sparkSession, jobs, threads)))

@@ -12,23 +12,21 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from leadtide.config import (
-    ALPHA_RANGE, FOLDS, L1_RATIO_RANGE, LINEAR_MODELS, MAX_ROUNDS, PATIENCE, FeatureSpec, target_name,
+    ALPHA_RANGE, FOLDS, L1_RATIO_RANGE, LEAST_LEAF_ROWS, LINEAR_MODELS, MAX_ROUNDS, PATIENCE, TIME, FeatureSpec, target_name,
 )
 from leadtide.operators.blocks import BLOCK_ROWS, lay_out
 from leadtide.operators.features import build_features
-from leadtide.operators.models import (
-    FEATURES, assemble, boost_until_stop, boosted_trees, horizons_by_rows, side_by_side,
-)
+from leadtide.operators.boosting import Boost, boost
+from leadtide.operators.models import horizons_by_rows
 from leadtide.operators.report import mean_over_folds
 from leadtide.operators.scaling import scale_per_group
-from leadtide.operators.splits import assign_folds
+from leadtide.operators.splits import assign_folds, check_no_leak
 from leadtide.operators.sums import one_label, product_sums, solve_many, squared_errors
-from leadtide.session import cut_lineage
+from leadtide.session import cut_lineage, stored
 
 
 CHUNKS = 4
@@ -96,14 +94,15 @@ def fold_features(
     at_most: int | None = None,
 ) -> tuple[DataFrame, list[str]]:
     """Train + val rows with known targets, cut into folds; features restart in each fold part
-    and are scaled with constants of the training part alone."""
+    and are scaled with constants of the training part alone. A fold that leaks fails the job."""
     known = df.where(F.col("split") != "test").dropna("any", subset=list(targets))
-    layout = lay_out(known, block_rows=block_rows, at_most=at_most)
+    layout = lay_out(known, block_rows=block_rows, at_most=at_most, unique=True)  # rows that had a layout before
     parts = assign_folds(known, layout, gap, folds)
     ready = build_features(parts, layout, spec, scope=["fold", "role"], keep=targets)
     front = {*layout.keys, layout.time, "fold", "role", *targets}
     columns = [c for c in ready.columns if c not in front]
-    ready = ready.persist(StorageLevel.MEMORY_AND_DISK)  # read by the scaler, twice, and by the sums
+    ready = stored(ready, "folds")  # read by the check, by the scaler, twice, and by the sums
+    check_no_leak(ready, layout.keys, layout.time)
     copies = None if layout.rows is None else layout.rows * folds
     return scale_per_group(ready, columns, ["fold"], F.col("role") == "train", copies), columns
 
@@ -191,44 +190,39 @@ def search_trees(
     patience: int | None = PATIENCE,
     seed: int = 42,
     folds: int = FOLDS,
-    threads: int = 3,
     at_most: int | None = None,
 ) -> DataFrame:
     """Trials of boosted trees with mean validation RMSE and mean best round over the folds.
 
     With ``patience`` each fit stops early on the validation part; without it the rounds are drawn
-    like the other parameters (``n_estimators`` in ``ranges``). Parameters without a counterpart
-    in Spark are drawn and recorded, not used. Fits are Spark jobs from a few driver threads; what
-    reaches the driver is one score per fit.
+    like the other parameters (``n_estimators`` in ``ranges``). ``num_leaves`` in ``ranges`` grows the
+    best leaf first. All trials, folds and horizons are fitted together; a score per fit comes back.
     """
     spark = df.sparkSession
     studies = spark.createDataFrame([(h,) for h in horizons], "horizon int")
     trials = draw_trees(studies, n_trials, seed, ["horizon"], ranges)
     drawn = [r.asDict() for r in trials.collect()]  # horizons * n_trials parameter sets
     scores = []
-    for h in horizons:
-        y = target_name(h)
-        ready, columns = fold_features(df, spec, [y], gap, folds, at_most=at_most)
-        data = assemble(ready, columns).select("fold", "role", FEATURES, y).persist(StorageLevel.MEMORY_AND_DISK)
-        parts = sorted(r["fold"] for r in data.select("fold").distinct().collect())  # at most ``folds`` rows
-
-        def job(trial: dict, fold: int, y: str = y, data: DataFrame = data):
-            fit, val = (data.where((F.col("fold") == fold) & (F.col("role") == r)) for r in ("train", "val"))
-            args = {"learning_rate": trial["learning_rate"], "max_depth": trial["max_depth"],
-                    "subsample": trial["subsample"], "colsample": trial["colsample_bytree"]}
-
-            def run():
-                if patience is None:
-                    rounds = trial["n_estimators"]
-                    loss = boosted_trees(y, rounds, **args).fit(fit).evaluateEachIteration(val, "squared")[-1]
-                else:
-                    _, rounds, loss = boost_until_stop(fit, val, y, max_rounds, patience, **args)
-                return trial["horizon"], trial["trial"], fold, float(loss) ** 0.5, rounds
-
-            return run
-
-        jobs = [job(t, f) for t in drawn if t["horizon"] == h for f in parts]
-        scores += side_by_side(spark, jobs, threads)
-        data.unpersist()
+    for group in horizons_by_rows(df.where(F.col("split") != "test"), horizons):
+        labels = [target_name(h) for h in group]
+        ready, columns = fold_features(df, spec, labels, gap, folds, at_most=at_most)
+        data = ready.select(
+            F.col("fold").cast("int").alias("group"), F.xxhash64("series_id", TIME).alias("id"), (F.col("role") == "train").alias("train"),
+            *[F.col(f"`{c}`") for c in [*columns, *labels]],
+        )
+        parts = [r["fold"] for r in ready.select("fold").distinct().orderBy("fold").collect()]  # at most ``folds`` rows
+        fits = [(t, f) for t in drawn if t["horizon"] in group for f in parts]
+        models = boost(data, columns, [_tree_model(t, f, max_rounds, patience) for t, f in fits], trees=False)
+        scores += [(t["horizon"], t["trial"], int(f), m.rmse, m.best) for (t, f), m in zip(fits, models) if m and m.rmse is not None]
     table = spark.createDataFrame(scores, "horizon int, trial int, fold int, rmse double, best_iteration int")
     return trials.join(mean_over_folds(table), ["horizon", "trial"])
+
+
+def _tree_model(trial: dict, fold: int, max_rounds: int, patience: int | None) -> Boost:
+    leaves = trial.get("num_leaves") or 0
+    return Boost(
+        target_name(trial["horizon"]), int(fold), rounds=max_rounds if patience else trial["n_estimators"], patience=patience,
+        learning_rate=trial["learning_rate"], max_depth=trial["max_depth"], subsample=trial["subsample"],
+        colsample=trial["colsample_bytree"], reg_alpha=trial["reg_alpha"], reg_lambda=trial["reg_lambda"], num_leaves=leaves,
+        least_rows=LEAST_LEAF_ROWS if leaves else 1, seed=42,
+    )

@@ -114,7 +114,7 @@ def fill_inside(
     # table has one row per block and scope, so its windows stay small.
     run = [*layout.keys, *scope]
     ends = df.groupBy(*run, BLOCK).agg(
-        *[F.expr(f"{f}_by(`{c}`, `{layout.time}`) FILTER (WHERE `{c}` IS NOT NULL) AS `_{name}_{c}`")
+        *[F.expr(f"{f}_by(`{c}`, struct({', '.join(f'`{o}`' for o in layout.order)})) FILTER (WHERE `{c}` IS NOT NULL) AS `_{name}_{c}`")
           for c in columns for f, name in (("max", "last"), ("min", "first"))]
     )
     keys = ", ".join(f"`{k}`" for k in run)

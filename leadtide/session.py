@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-def local_session(app: str = "leadtide", cores: str = "*", partitions: int = 8) -> SparkSession:
+def local_session(app: str = "leadtide", cores: str = "*", partitions: int = 8, memory: str = "8g") -> SparkSession:
     """A local session for tests and benchmarks; a cluster brings its own."""
     return (
         SparkSession.builder.master(f"local[{cores}]")
@@ -17,7 +19,7 @@ def local_session(app: str = "leadtide", cores: str = "*", partitions: int = 8)
         .config("spark.sql.shuffle.partitions", str(partitions))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.driver.memory", "12g")
+        .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()
@@ -38,6 +40,7 @@ def shared_folder(spark: SparkSession) -> str:
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     own = tempfile.mkdtemp(prefix="leadtide-")
+    atexit.register(shutil.rmtree, own, ignore_errors=True)
     spark.sparkContext.setCheckpointDir(own)
     return own
 
@@ -54,3 +57,10 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(folder)
     return df.checkpoint(eager=True)
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """The rows as a table in the shared folder: read by several jobs, lineage cut, nothing to release."""
+    path = scratch_table(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -137,3 +137,50 @@ def test_folds_keep_their_gap(frames):
         F.min(F.when(F.col("role") == "val", F.col("idx"))).alias("b"),
     )
     assert parts.where(F.col("b") - F.col("a") <= 7).isEmpty() and not parts.isEmpty()
+
+
+TIED = "series_id string, datetime timestamp_ntz, sensor int, temp double, humidity double"
+
+
+def tied_rows():
+    rng = random.Random(11)
+    rows = []
+    for name, n in (("hot", 900), ("a", 20)):
+        for i in range(n):
+            t = START + dt.timedelta(hours=i // 3)
+            rows.append((name, None if i == 0 and name == "a" else t, i % 3, None if rng.random() < 0.3 else rng.gauss(0, 1), float(i % 7)))
+    return rows
+
+
+@pytest.mark.parametrize("parts", [1, 2, 3, 5, 8])
+def test_tied_times_are_ordered_alike_cut_and_uncut(spark, parts):
+    rows = [r for r in tied_rows() if r[1] is not None]
+    df = spark.createDataFrame(rows, TIED).repartition(parts)
+    plain, cut = lay_out(df, ties=["sensor"]), lay_out(df, block_rows=64, ties=["sensor"])
+    assert cut.blocked and not plain.blocked
+    for job in (
+        lambda x: row_index(df, x, "i", "n"), lambda x: lead_targets(df, x, [1, 4]),
+        lambda x: over_series(df, x, lambda d, w: d.withColumn("m", trailing_mean("humidity", 5, w)), back=5), lambda x: fill_gaps(df, x, ["temp"]),
+    ):
+        same(job(plain), job(cut))
+    want = sorted(rows, key=lambda r: (r[0], r[1], r[2]))
+    got = row_index(df, cut, "i").orderBy("series_id", "i").collect()
+    assert [tuple(r)[:3] for r in got] == [r[:3] for r in want]
+
+
+@pytest.mark.parametrize("block_rows", [64, 4_000_000])
+def test_tied_times_without_an_order_are_refused_at_every_size(spark, block_rows):
+    df = spark.createDataFrame(tied_rows(), TIED)
+    with pytest.raises(ValueError, match="does not order"):
+        lay_out(df, block_rows=block_rows)
+    with pytest.raises(ValueError, match="does not order"):
+        lay_out(df.unionByName(df.limit(1)), block_rows=block_rows, ties=["sensor"])
+    with pytest.raises(ValueError, match="does not order"):
+        lay_out(df, block_rows=block_rows, at_most=10_000)
+
+
+def test_a_cut_window_cannot_be_widened(frames):
+    df, _, cut = frames
+    for change in (lambda w: w.rangeBetween(-10, 0), lambda w: w.orderBy("temp"), lambda w: w.partitionBy("series_id")):
+        with pytest.raises(ValueError, match="frames of rows"):
+            over_series(df, cut, lambda d, w, c=change: d.withColumn("x", F.max("temp").over(c(w))), back=3)

@@ -11,7 +11,7 @@ from leadtide.config import ALPHA_RANGE, DAILY, LINEAR_MODELS, TREE_RANGES, targ
 from leadtide.operators.blocks import lay_out
 from leadtide.operators.features import build_features, feature_pipeline
 from leadtide.operators.models import (
-    LinearParams, fit_linear_by_sums, fit_linear_per_horizon, horizons_by_rows, score_linear, score_models, stop_early,
+    LinearParams, fit_linear_by_sums, fit_linear_per_horizon, horizons_by_rows, score_linear, score_models,
 )
 from leadtide.operators.sums import one_label, product_sums, solve_many, squared_errors
 from leadtide.operators.tuning import draw_linear, draw_trees, fold_features, search_linear
@@ -141,12 +141,6 @@ def test_draws(spark):
     assert depths == set(range(3, 11))
 
 
-def test_patience():
-    assert stop_early([5, 4, 3, 3.5, 3.4, 2], patience=2) == 3
-    assert stop_early([5, 4, 3, 3.5, 2, 2.5], patience=3) == 5
-    assert stop_early([3, 2, 1], patience=100) == 3
-
-
 def test_pipeline_can_be_saved(spark, tmp_path):
     df = daily_series(spark, 120)
     model = feature_pipeline(DAILY).fit(df)

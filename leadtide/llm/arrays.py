@@ -35,3 +35,21 @@ def letters(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     keep = np.ones(len(codes), bool)
     keep[1:] = (codes[1:] != 0) | (codes[:-1] != 0)
     return codes[keep], owner[keep]
+
+
+def pieces(text: str, most: int = 1 << 20) -> Iterator[tuple[str, bool]]:
+    """Parts of a text of at most ``most`` characters, and whether a part goes on inside a word.
+
+    A part ends before a character that is no letter wherever one is near; only a run of letters longer
+    than a part is cut, and its first and last letters are the caller's to mend.
+    """
+    at = 0
+    while at < len(text):
+        end = min(at + most, len(text))
+        if end < len(text):
+            cut = end
+            while cut > at and text[cut].lower()[:1].isalpha():
+                cut -= 1
+            end = cut if cut > at else end
+        yield text[at:end], end < len(text) and text[end].lower()[:1].isalpha() and text[end - 1].lower()[-1:].isalpha()
+        at = end

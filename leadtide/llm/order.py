@@ -10,21 +10,27 @@ order, and it is known without counting first: tokens are computed once and shuf
 Range partitions of the order are shards. A task writes its shard as records of fixed stride under a
 name of its own and then moves it into place, so a repeated task leaves the same file. The global
 slot of a sequence is the number of records in earlier shards plus its record number; its bytes are
-at record times stride, which is all that a reader needs to read on after a stop.
-
-Null text counts as empty; null and repeated ids are kept; an empty table writes no shard; other
-columns are ignored.
+at record times stride, which is all that a reader needs to read on after a stop. The folder is named
+in full by Spark's file system on the driver, and a task that does not see the driver's mark there
+refuses to write: shards never end on a disk that others cannot see. When all shards are in place,
+what failed tasks left is removed and the manifest follows: shard, first slot, records, checksum. A
+folder without a manifest is not a whole run.
+
+Null text counts as empty; null and repeated ids are kept; texts of any length are cut into sequences
+as their tokens come; an empty table writes no shard; other columns are ignored.
 """
 
 from __future__ import annotations
 
+import re
+import uuid
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from leadtide.llm.common import written
@@ -32,12 +38,14 @@ from leadtide.llm.tokens import encoder
 from leadtide.session import scratch_table
 
 STRIDE = 1024
-#: Bounds of the index; a task that passes one stops with an error.
-PARTITIONS = 4_000_000
-PER_PARTITION = 250_000
+#: The index: more partitions than Spark gives a scan, and sequences than a partition can hold.
+PARTITIONS = 1 << 22
+PER_PARTITION = 1 << 38
 #: Bytes of text that make up a shard.
 SHARD_BYTES = 16 << 20
 ROUNDS = 6
+MANIFEST = "manifest"
+MANIFEST_SCHEMA = "shard int, first bigint, records bigint, checksum bigint"
 
 
 def feistel(index: np.ndarray, key: int, size: int) -> np.ndarray:
@@ -116,14 +124,31 @@ def _cut(stride: int, vocabulary: str, end: int, key: int, shards: int, partitio
     return cut
 
 
-def _write(folder: str):
+def _store(folder: str):
+    """pyarrow's file system of a folder that is named in full, and the path there."""
+    from pyarrow import fs
+
+    return fs.FileSystem.from_uri(folder)
+
+
+def _named(spark: SparkSession, folder: str):
+    """Hadoop's file system of ``folder`` and its full name, by the default scheme where it has none."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    store = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return store, re.sub("^file:/+", "file:///", store.makeQualified(path).toString())
+
+
+def _path(spark: SparkSession, name: str):
+    return spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
+
+
+def _write(folder: str, mark: str):
     """Writes each shard of a sorted partition and gives back its records without their tokens."""
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyarrow import fs
-
-        store, path = fs.FileSystem.from_uri(folder) if "://" in folder or folder.startswith("file:") else (fs.LocalFileSystem(), folder)
-        store.create_dir(path, recursive=True)
+        store, path = _store(folder)
+        if store.get_file_info(f"{path}/{mark}").type.name == "NotFound":
+            raise RuntimeError(f"{folder} is not a folder that the driver and all executors share")
         shard, out, record = None, None, 0
         context = TaskContext.get()
         draft = f"{path}/.draft-{context.partitionId()}-{context.taskAttemptId()}"
@@ -162,20 +187,27 @@ def materialise(
     Tokens are unsigned little-endian 16-bit, so a record has 2 * stride bytes; the vocabulary has
     fewer than 65,536 entries. ``folder`` is one that all executors share.
     """
+    spark = docs.sparkSession
     narrow = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
     size = narrow.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shards = max(1, -(-size // shard_bytes))
+    store, folder = _named(spark, folder)
+    mark = f".mark-{uuid.uuid4().hex}"
+    store.create(_path(spark, f"{folder}/{mark}")).close()
     cut = narrow.mapInArrow(
         _cut(stride, vocabulary, end_token, key, shards, partitions, per_partition),
         "place bigint, shard int, tokens binary, doc_ids array<bigint>, n_tokens int",
     )
     dealt = cut.repartitionById(shards, F.col("shard")).sortWithinPartitions("shard", "place")
     done = written(
-        dealt.mapInArrow(_write(folder), "shard int, record bigint, doc_ids array<bigint>, n_tokens int, crc32 bigint"), "sequences"
+        dealt.mapInArrow(_write(folder, mark), "shard int, record bigint, doc_ids array<bigint>, n_tokens int, crc32 bigint"), "sequences"
     )
-    counts = done.groupBy("shard").agg(F.count("*").alias("n"))  # a row per shard
+    counts = done.groupBy("shard").agg(F.count("*").alias("n"), F.sum("crc32").alias("checksum"))  # a row per shard
     before = Window.partitionBy(F.lit(0)).orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
-    first = counts.select("shard", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
+    first = counts.select("shard", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"), F.col("n").alias("records"), "checksum")
+    for left in store.globStatus(_path(spark, f"{folder}/.*-*")) or []:
+        store.delete(left.getPath(), False)
+    first.write.parquet(f"{folder}/{MANIFEST}")
     return done.join(first, "shard").select(
         (F.col("first") + F.col("record")).alias("slot"), "shard", "record", "doc_ids", "n_tokens", "crc32"
     )
@@ -186,10 +218,18 @@ def fresh_folder(docs: DataFrame, name: str = "shards") -> str:
 
 
 def read_records(folder: str, shard: int, record: int, n: int, stride: int = STRIDE) -> np.ndarray:
-    """``n`` records of a shard from ``record`` on, by one seek."""
-    from pyarrow import fs
-
-    store, path = fs.FileSystem.from_uri(folder) if "://" in folder or folder.startswith("file:") else (fs.LocalFileSystem(), folder)
+    """``n`` records of a shard from ``record`` on, by one seek. ``folder`` is named in full."""
+    store, path = _store(folder)
     with store.open_input_file(f"{path}/shard-{shard:07d}.bin") as file:
         file.seek(record * stride * 2)
         return np.frombuffer(file.read(n * stride * 2), "<u2").reshape(-1, stride)
+
+
+def read_slots(spark: SparkSession, folder: str, slot: int, n: int, stride: int = STRIDE) -> Iterator[np.ndarray]:
+    """The sequences of ``n`` global slots from ``slot`` on, shard by shard; the manifest says where they are."""
+    _, folder = _named(spark, folder)
+    manifest = spark.read.schema(MANIFEST_SCHEMA).parquet(f"{folder}/{MANIFEST}")
+    hit = manifest.filter((F.col("first") < slot + n) & (F.col("first") + F.col("records") > slot)).orderBy("first")
+    for r in hit.toLocalIterator():
+        at = max(0, slot - r["first"])
+        yield read_records(folder, r["shard"], at, min(slot + n - r["first"], r["records"]) - at, stride)

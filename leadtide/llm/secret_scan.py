@@ -8,7 +8,7 @@ verified by the expression itself. A rule from which no trigram follows is run o
 The index is in lower case, so it holds more rows than needed, never fewer. Intersecting groups by
 row, not by trigram, so a trigram that every text has makes no task larger than another. Rows are
 named by a 64-bit hash of id and text: rows that share it verify together, which costs nothing but
-time. Null text counts as empty; null and repeated ids are kept; an empty table gives no rows;
+time. Texts are verified whole, however long. Null text counts as empty; null and repeated ids are kept; an empty table gives no rows;
 other columns are ignored.
 """
 
@@ -17,7 +17,6 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass
 from functools import reduce
-from itertools import product
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -48,40 +47,71 @@ MORE = (
 )
 #: More alternatives than this are not worth asking for: the rule scans fully.
 MOST_CLAUSES = 64
+#: A class of at most so many characters is written out.
+SMALL_CLASS = 8
 
+_Ways = set[tuple[frozenset[str], str]]
 
-def _strings(parsed) -> list[list[str]] | None:
-    """The ways to match, each as the runs of fixed letters it must contain; '' ends a run."""
-    ways = [[""]]
 
-    def extend(more: list[list[str]]) -> None:
-        ways[:] = [[*a[:-1], a[-1] + b[0], *b[1:]] for a, b in product(ways, more)]
+def _pruned(ways: _Ways) -> _Ways:
+    """Without ways that ask for more than another one with the same tail."""
+    return {(t, tail) for t, tail in ways if not any(o < t and tail == x for o, x in ways)}
+
+
+def _characters(parsed) -> list[str] | None:
+    """The characters of a small class in lower case."""
+    out: set[str] = set()
+    for op, arg in parsed:
+        if str(op) == "LITERAL":
+            out.add(chr(arg).lower())
+        elif str(op) == "RANGE" and arg[1] - arg[0] < SMALL_CLASS:
+            out |= {chr(c).lower() for c in range(arg[0], arg[1] + 1)}
+        else:
+            return None
+    return sorted(out) if len(out) <= SMALL_CLASS else None
+
+
+def _after(parsed, ways: _Ways) -> _Ways:
+    """The ways to match so far, each as the trigrams it must contain and its last fixed letters, two at most."""
+
+    def then(ways: _Ways, letter: str) -> _Ways:
+        out = set()
+        for trigrams, tail in ways:
+            run = tail + letter
+            out.add((trigrams | {run}, run[1:]) if len(run) == 3 else (trigrams, run))
+        return out
+
+    def broken(ways: _Ways) -> _Ways:
+        return {(trigrams, "") for trigrams, _ in ways}
 
     for op, arg in parsed:
         name = str(op)
         if name == "LITERAL":
-            extend([[chr(arg).lower()]])
+            ways = then(ways, chr(arg).lower())
+        elif name == "IN" and (letters := _characters(arg)):
+            ways = set().union(*(then(ways, c) for c in letters))
         elif name == "SUBPATTERN":
-            extend(inner if (inner := _strings(arg[3])) else [["", ""]])
+            ways = _after(arg[3], ways)
         elif name == "BRANCH":
-            inner = [_strings(branch) for branch in arg[1]]
-            extend([way for ws in inner for way in ws] if all(inner) else [["", ""]])
+            ways = set().union(*(_after(branch, ways) for branch in arg[1]))
         elif name == "MAX_REPEAT" and tuple(arg[:2]) == (0, 1):
-            extend([[""], *(_strings(arg[2]) or [["", ""]])])
-        else:
-            extend([["", ""]])
+            ways = ways | _after(arg[2], ways)
+        elif name == "MAX_REPEAT" and arg[0] >= 1:
+            for _ in range(min(arg[0], 3)):
+                ways = _after(arg[2], ways)
+            ways = ways if arg[0] == arg[1] <= 3 else broken(ways)
+        elif name != "AT":
+            ways = broken(ways)
+        ways = _pruned(ways)
         if len(ways) > MOST_CLAUSES:
-            return None
+            ways = _pruned(broken(ways))
     return ways
 
 
 def trigram_query(pattern: str) -> list[frozenset[str]] | None:
     """An OR of ANDs of lower-case trigrams that every match contains; None if none is mandatory."""
-    ways = _strings(re._parser.parse(pattern))
-    if not ways:
-        return None
-    clauses = {frozenset(run[i : i + 3] for run in way for i in range(len(run) - 2)) for way in ways}
-    if not all(clauses):
+    clauses = {trigrams for trigrams, _ in _after(re._parser.parse(pattern), {(frozenset(), "")})}
+    if not all(clauses) or len(clauses) > MOST_CLAUSES:
         return None
     return sorted((c for c in clauses if not any(o < c for o in clauses)), key=sorted)
 

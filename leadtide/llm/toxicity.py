@@ -11,7 +11,8 @@ hash of their id. Their texts are cut to features and counted on the executors;
 chosen features each row has, at most a few hundred numbers a row, is fitted on the driver. A feature enters a model if its frequency in the category differs from the base
 rate by ``Z`` standard deviations in that model's own training rows, the ``features`` strongest at
 most; so both what is collected and what is sent to the tasks have fixed bounds. Scoring is one pass
-without a shuffle and needs no size assumption on a document.
+without a shuffle; a text of any length is cut to features in parts of a million characters, and a run
+of letters longer than that counts as several words.
 
 Null text counts as empty; without labels, or if a category has one value only, its probability is
 that constant; labels that are null or not 0 or 1 are not learned from, and of repeated labels of
@@ -30,7 +31,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from leadtide.llm.arrays import bounded, letters
+from leadtide.llm.arrays import bounded, letters, pieces
 from leadtide.llm.common import written
 
 #: The chain, earliest first: how each category follows from the columns of the labels.
@@ -40,6 +41,8 @@ FEATURES = 4_000
 FOLDS = 3
 Z = 4.0
 STARTS = (3, 4, 5, 6)
+#: Bytes of text that are cut to features together; a longer text is cut in parts.
+LONG = 1 << 20
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
 
@@ -67,13 +70,32 @@ def features(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(rows), np.concatenate(hashes)
 
 
+def long_features(text: str, most: int) -> np.ndarray:
+    """The distinct features of one text of any length; a part of it is held at a time.
+
+    A run of letters longer than a part is cut after each part: its features are those of the parts.
+    """
+    held = np.empty(0, np.int64)
+    for part, _ in pieces(text, most):
+        held = np.union1d(held, features(pa.array([part]))[1])
+    return held
+
+
+def _features_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """``features``, in parts if it is one long text."""
+    if len(texts) == 1 and texts[0].is_valid and texts[0].as_buffer().size > LONG:
+        hashes = long_features(texts[0].as_py(), LONG)
+        return np.zeros(len(hashes), np.int64), hashes
+    return features(texts)
+
+
 def _feature_counts(categories: int):
     """Per feature and fold: rows that have it, and those of them in each category."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in bounded(whole, 0):
-                rows, hashes = features(batch.column(0))
+                rows, hashes = _features_of(batch.column(0))
                 order = np.lexsort((rows, hashes))
                 rows, hashes = rows[order], hashes[order]
                 new = np.ones(len(rows), bool)
@@ -94,7 +116,7 @@ def _feature_counts(categories: int):
 
 def _present(texts: pa.Array, vocabulary: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(rows, places): which entries of the sorted ``vocabulary`` each text has, each once."""
-    rows, hashes = features(texts)
+    rows, hashes = _features_of(texts)
     maybe = np.zeros(1 << 20, bool)
     maybe[vocabulary & 0xFFFFF] = True
     near = maybe[hashes & 0xFFFFF]

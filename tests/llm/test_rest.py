@@ -191,7 +191,7 @@ def test_shards_hold_every_token_once(spark, tmp_path):
     from leadtide.llm.tokens import encoder
 
     docs = documents(spark, SF)
-    folder = str(tmp_path / "out")
+    folder = f"file://{tmp_path}/out"
     made = order.materialise(docs, folder, shard_bytes=1 << 17).toPandas()
     assert sorted(made.slot) == list(range(len(made))) and made.shard.nunique() > 1
     encode = encoder()

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,11 +12,11 @@ from leadtide.catalog.basics import KEY, TARGETS, folded
 from leadtide.catalog.rounding import rounded
 from leadtide.catalog.worked import HORIZONS
 from leadtide.config import (
-    DAILY, DAILY_GAP_ROWS, FOLDS, HOURLY, HOURLY_GAP_ROWS, HOURLY_HORIZONS, LEAF_RATE, LEAST_LEAF_ROWS, LEAVES, MEASURES,
+    DAILY, DAILY_GAP_ROWS, FOLDS, HOURLY, HOURLY_GAP_ROWS, HOURLY_HORIZONS, LEAF_RATE, LEAST_LEAF_ROWS, LEAVES,
     N_ESTIMATORS_RANGE, NEXT_DAY_HORIZONS, NUM_LEAVES_RANGE, PATIENCE, TREE_RANGES,
 )
 from leadtide.operators.evaluate import evaluate, to_long
-from leadtide.operators.features import feature_pipeline, final_columns
+from leadtide.operators.features import build_features, feature_pipeline, final_columns
 from leadtide.operators.boosting import Boost, boost, boost_per_horizon, score_boosted
 from leadtide.operators.models import (
     LinearParams, assemble, decision_tree, fit_linear_by_sums, fit_linear_per_horizon, label_statistics, linear_estimator,
@@ -46,7 +48,7 @@ LEAF_RANGES = {**TREE_RANGES, "n_estimators": N_ESTIMATORS_RANGE, "num_leaves":
 
 def _scaled_input(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, list[str], int]:
     ready = worked.feature_table(spark, sf, "daily")
-    return ready, ready.where(F.col("part") == "fit"), list(MEASURES), at_most_rows(spark, sf, "lineitem")
+    return ready, ready.where(F.col("part") == "fit"), final_columns(ready.columns, DAILY), at_most_rows(spark, sf, "lineitem")
 
 
 def _g16(small: bool):
@@ -62,20 +64,22 @@ def m2_robust_scale(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(apply_robust_scaler(ready, fit_robust_scaler(fit, columns, rows)).select(*KEY, "part", *columns))
 
 
-FOLD_COLUMNS = ["humidity", "precip", "temp"]
+def _fold_parts(spark: SparkSession, sf: str) -> tuple[DataFrame, list[str]]:
+    """All hourly features, restarting in each part of each fold."""
+    parts, layout = folded(spark, sf)
+    ready = build_features(parts, layout, HOURLY, scope=["fold", "role"])
+    return stored(ready, "folds"), final_columns(ready.columns, HOURLY)
 
 
 def m17_fold_constants(spark: SparkSession, sf: str) -> DataFrame:
-    parts, _ = folded(spark, sf)
-    train_rows = parts.where(F.col("role") == "train").select("fold", *FOLD_COLUMNS)
-    return rounded(robust_constants(train_rows, FOLD_COLUMNS, ["fold"]))
+    parts, columns = _fold_parts(spark, sf)
+    return rounded(robust_constants(parts.where(F.col("role") == "train").select("fold", *columns), columns, ["fold"]))
 
 
 def m17_scale_per_fold(spark: SparkSession, sf: str) -> DataFrame:
-    parts, _ = folded(spark, sf)
-    data = parts.select(*KEY, "fold", "role", *FOLD_COLUMNS)
+    parts, columns = _fold_parts(spark, sf)
     rows = at_most_rows(spark, sf, "events") * FOLDS
-    return rounded(scale_per_group(data, FOLD_COLUMNS, ["fold"], F.col("role") == "train", rows))
+    return rounded(scale_per_group(parts.select(*KEY, "fold", "role", *columns), columns, ["fold"], F.col("role") == "train", rows))
 
 
 def m1_ml_stages(spark: SparkSession, sf: str) -> DataFrame:
@@ -200,6 +204,16 @@ def m10_early_stopping(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(_by_split(score_boosted(ready, {"prediction": model}, columns)).withColumn("best_iteration", F.lit(model.best)))
 
 
+def m10_one_input_stop(spark: SparkSession, sf: str) -> DataFrame:
+    """Boosted stumps on one column until the validation part has not improved for five rounds."""
+    ready, _ = _tree_data(spark, sf)
+    params = {1: {"rounds": 40, "learning_rate": 0.5, "max_depth": 1, "patience": 5}}
+    model = boost_per_horizon(ready.where(F.col("split") != "test"), ["visibility"], params, F.col("split") == "train")[1]
+    scored = score_boosted(ready.where(F.col("split") == "val"), {"pred": model}, ["visibility"])
+    found = scored.agg(F.count("*").alias("n_rows"), F.sqrt(F.avg(F.pow(F.col("target_t1") - F.col("pred"), 2))).alias("rmse"))
+    return rounded(found.withColumns({"best_iteration": F.lit(model.best), "grown": F.lit(model.grown)}), 4)
+
+
 def m9_one_split(spark: SparkSession, sf: str) -> DataFrame:
     """One round with two leaves and both penalties: the split and the leaf weights."""
     ready, _ = _tree_data(spark, sf)
@@ -238,6 +252,14 @@ def m15_linear_search(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(best_trial(trials))
 
 
+def m15_one_input_search(spark: SparkSession, sf: str) -> DataFrame:
+    """All trials of a search over one column, with their scores."""
+    df, _ = worked.split_daily(spark, sf)
+    spec = replace(DAILY, only=("windgust",))
+    rows = at_most_rows(spark, sf, "lineitem")
+    return rounded(search_linear(df, spec, HORIZONS, gap=DAILY_GAP_ROWS, n_trials=LINEAR_TRIALS, at_most=rows)[0], 4)
+
+
 def m15_linear_search_hourly(spark: SparkSession, sf: str) -> DataFrame:
     """300 trials per horizon of 24 to 168 hours, folds with a gap of 168 rows."""
     df, rows = _split_far(spark, sf)
@@ -327,6 +349,7 @@ QUERIES = {
     "m9_boosted_trees": m9_boosted_trees,
     "m9_one_split": m9_one_split,
     "m10_early_stopping": m10_early_stopping,
+    "m10_one_input_stop": m10_one_input_stop,
     "m11_trees_per_horizon": m11_trees_per_horizon,
     "m11_m12_one_input_all_horizons": m11_m12_one_input_all_horizons,
     "m11_m13_daily_chain": m11_m13_daily_chain,
@@ -338,6 +361,7 @@ QUERIES = {
     "m14_bake_off": m14_bake_off,
     "m14_bake_off_hourly": m14_bake_off_hourly,
     "m15_linear_search": m15_linear_search,
+    "m15_one_input_search": m15_one_input_search,
     "m15_linear_search_hourly": m15_linear_search_hourly,
     "m15_tree_search": m15_tree_search,
     "m15_tree_search_hourly": m15_tree_search_hourly,

@@ -60,15 +60,21 @@ LEAF_RATE = 0.1
 
 @dataclass(frozen=True)
 class FeatureSpec:
-    """Which columns one job variant derives, and how many rows back its windows look."""
+    """Which columns one job variant derives, and how many rows back its windows look.
+
+    ``only`` names the model columns of a job that takes fewer.
+    """
 
     name: str
     hour_cycle: bool
     rolling: bool
     lag_rows: int = 24
+    only: tuple[str, ...] = ()
 
     @property
     def columns(self) -> tuple[str, ...]:
+        if self.only:
+            return self.only
         cols = MEASURES + YEAR_CYCLE
         if self.hour_cycle:
             cols += HOUR_CYCLE

@@ -397,14 +397,14 @@ def _cuts(train: DataFrame, columns: Sequence[str]) -> dict[int, list[np.ndarray
 
 
 def _scales(train: DataFrame, labels: Sequence[str]) -> dict[tuple[int, str], Scale]:
-    """Means are rounded to a millionth of the label's range: a sum of doubles depends on their order."""
+    """Means are rounded to a billionth of the label's range: a sum of doubles depends on their order."""
     rows = train.groupBy("group").agg(*[f(y).alias(f"{f.__name__}_{y}") for y in labels for f in (F.avg, F.min, F.max)]).collect()
     out = {}
     for r in rows:
         for y in labels:
             if r[f"avg_{y}"] is not None:
                 low, high = float(r[f"min_{y}"]), float(r[f"max_{y}"])
-                base = low + round((r[f"avg_{y}"] - low) / ((high - low) or 1.0), 6) * (high - low)
+                base = low + round((r[f"avg_{y}"] - low) / ((high - low) or 1.0), 9) * (high - low)
                 out[r["group"], y] = Scale(base, max(high - base, base - low) or 1.0)
     return out
 

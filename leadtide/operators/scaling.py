@@ -9,11 +9,14 @@ from pyspark.sql import functions as F
 
 from leadtide.operators.quantiles import exact_quantiles, quartiles_wide
 
+# Fixed value: a spread below ten machine epsilons is none.
+NO_SPREAD = 2.220446049250313e-15
+
 
 def robust_constants(
     df: DataFrame, columns: Sequence[str], by: Sequence[str] = (), at_most: int | None = None
 ) -> DataFrame:
-    """One row per group and feature: median and spread; a zero spread becomes 1."""
+    """One row per group and feature: median and spread; a spread of (almost) zero becomes 1."""
     q = F.col("quantiles")
     return exact_quantiles(df, columns, by=by, at_most=at_most).select(
         *by, "feature", q[1].alias("median"), (q[2] - q[0]).alias("iqr"), _spread(q[2] - q[0]).alias("scale")
@@ -21,7 +24,7 @@ def robust_constants(
 
 
 def _spread(iqr: Column) -> Column:
-    return F.when(iqr == 0, F.lit(1.0)).otherwise(iqr)
+    return F.when(iqr < NO_SPREAD, F.lit(1.0)).otherwise(iqr)
 
 
 def fit_robust_scaler(
@@ -60,7 +63,7 @@ def scale_per_group(
     return out.selectExpr(
         *[f"`{b}`" for b in by],
         *[
-            f"(`{c}` - coalesce(`{c}_q50`, 0D)) / coalesce(nullif(`{c}_q75` - `{c}_q25`, 0D), 1D) AS `{c}`"
+            f"(`{c}` - coalesce(`{c}_q50`, 0D)) / if(`{c}_q75` - `{c}_q25` >= {NO_SPREAD!r}D, `{c}_q75` - `{c}_q25`, 1D) AS `{c}`"
             if c in set(columns) else f"`{c}`"
             for c in in_order
         ],

@@ -36,9 +36,9 @@ CHUNKS = 4
 
 
 def uniform(seed: int, name: str, *ids: str) -> Column:
-    """A number in [0, 1) that depends only on seed, name and ids: the same on every run."""
-    h = F.xxhash64(F.lit(seed), F.lit(name), *[F.col(i) for i in ids])
-    return F.pmod(F.shiftrightunsigned(h, 11), F.lit(1 << 53)) / F.lit(float(1 << 53))
+    """A number in [0, 1) that depends only on seed, name and ids: the same on every run and engine."""
+    said = F.concat_ws("|", F.lit(str(seed)), F.lit(name), *[F.col(i).cast("string") for i in ids])
+    return F.conv(F.substring(F.sha2(said, 256), 1, 13), 16, 10).cast("double") / F.lit(float(1 << 52))
 
 
 def draw(u: Column, low: float, high: float, scale: str = "uniform") -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Sequence
-from concurrent.futures import ThreadPoolExecutor
+from concurrent.futures import FIRST_EXCEPTION, ThreadPoolExecutor, wait
 from dataclasses import dataclass
 
 from pyspark import inheritable_thread_target
@@ -86,10 +86,15 @@ def side_by_side(spark: SparkSession, jobs: Sequence[Callable[[], object]], thre
     with ThreadPoolExecutor(max_workers=threads) as pool:
         running = [pool.submit(inheritable_thread_target(spark)(lambda j=j: tagged(j))) for j in jobs]
         try:
+            done, _ = wait(running, return_when=FIRST_EXCEPTION)
+            for f in done:
+                f.result()  # raises what failed, before any wait for the others
             return [f.result() for f in running]
         except BaseException:
             pool.shutdown(wait=False, cancel_futures=True)
-            context.cancelJobsWithTag(tag)
+            while not all(f.done() for f in running):  # a job may be sent off after the first call
+                context.cancelJobsWithTag(tag)
+                wait(running, timeout=0.5)
             raise
 
 

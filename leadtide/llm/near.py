@@ -16,7 +16,7 @@ Documents with one set are one node from the start. Each bucket first compares i
 pivot, the node that shares buckets with most others; links are joined up, and another pivot follows.
 That connects all but a few nodes of a large class. Only nodes of different components that still
 share a bucket are then compared with each other, inside the join, which gives out the links and no
-other pair. A pair is left out only if its nodes are connected already or differ too much in size,
+other pair; a large bucket is cut into square blocks of pairs, which are compared in tasks of their own. A pair is left out only if its nodes are connected already or differ too much in size,
 so no link that could change a class is lost.
 
 Sketches and links are tables in the shared folder; every step is a join or an aggregate that
@@ -46,6 +46,8 @@ BANDS = 24
 ROWS = 5
 #: Rounds of pivots before what is not connected is compared.
 ROUNDS = 2
+#: Nodes of a bucket that are compared with each other in one task.
+BLOCK = 256
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -163,7 +165,7 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in bounded(whole, whole.schema.get_field_index("text"), rows=1024):
             hashes, _, bounds = shingle_sets(batch.column("text"))
             digest = [xxhash.xxh3_128_digest(hashes[s:e].tobytes()) for s, e in zip(bounds[:-1], bounds[1:], strict=True)]
-            lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(hashes.astype(np.uint32).view(np.int32)))
+            lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(hashes.view(np.int64)))
             yield pa.RecordBatch.from_arrays([pa.array(digest, pa.binary()), lists], names=["digest", "shingles"])
 
 
@@ -203,9 +205,28 @@ def _verified(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
     return both.filter(F.col("common") + 1e-9 >= least * (F.col("sum") - F.col("common"))).select("a", "b")
 
 
+def _blocks(now: DataFrame, sets: DataFrame, block: int) -> tuple[DataFrame, DataFrame]:
+    """The nodes of each bucket twice, with their sets, dealt so that each two nodes of a bucket meet once.
+
+    A bucket is a square of nodes by nodes. It is cut into square blocks of about ``block`` nodes a side,
+    and a block is the key that its rows and columns meet under: no task has a whole large bucket.
+    """
+    sides = now.groupBy("bucket").agg(F.ceil(F.count("*") / F.lit(block)).cast("int").alias("sides"))
+    nodes = now.select("bucket", "digest", "n", "part").join(sides, "bucket")
+    nodes = nodes.withColumn("mine", F.pmod(F.xxhash64("digest"), F.col("sides")).cast("int"))
+    every = F.explode(F.sequence(F.lit(0), F.col("sides") - 1))
+    one = nodes.select("bucket", F.col("mine").alias("row_block"), every.alias("column_block"), "digest", "n", "part")
+    other = nodes.select(
+        F.col("bucket").alias("p_bucket"), every.alias("p_row_block"), F.col("mine").alias("p_column_block"),
+        F.col("digest").alias("p_digest"), F.col("n").alias("p_n"), F.col("part").alias("p_part"),
+    )
+    return one.join(sets, "digest"), other.join(sets.select(F.col("digest").alias("p_digest"), F.col("shingles").alias("p_shingles")), "p_digest")
+
+
 def classes(
-    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", least: float = LEAST, bands: int = BANDS, rows: int = ROWS
-) -> DataFrame:
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", least: float = LEAST, bands: int = BANDS, rows: int = ROWS,
+    block: int = BLOCK,
+) -> DataFrame:
     """One row per document: doc_id, row, class_id, class_size, kept. ``row`` names equal rows alike."""
     narrow = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
     narrow = narrow.select("doc_id", row_key("doc_id", "text").alias("row"), "text")
@@ -220,7 +241,7 @@ def classes(
     degree = entries.groupBy("digest").agg(F.sum("nodes").alias("degree"))
     wanted = entries.select("digest").distinct().join(nodes, "digest").select(F.col("first.row").alias("row"))
     sets = written(
-        narrow.join(wanted, "row", "left_semi").mapInArrow(_sets, "digest binary, shingles array<int>").dropDuplicates(["digest"]), "sets"
+        narrow.join(wanted, "row", "left_semi").mapInArrow(_sets, "digest binary, shingles array<bigint>").dropDuplicates(["digest"]), "sets"
     )
 
     def tagged(roots: DataFrame | None) -> DataFrame:
@@ -245,11 +266,11 @@ def classes(
             pairs = pairs.select(F.least("digest", "p").alias("a"), F.greatest("digest", "p").alias("b")).distinct()
             found = _verified(pairs, sets, least)
         else:
-            one = now.join(sets, "digest").select("bucket", "digest", "n", "part", "shingles")
-            other = one.select("bucket", *[F.col(c).alias(f"p_{c}") for c in one.columns[1:]])
+            one, other = _blocks(now, sets, block)
             common = F.size(F.array_intersect("shingles", "p_shingles"))
             close = (1 + least) * common + 1e-6 >= least * (F.col("n") + F.col("p_n"))
-            pairs = one.join(other, (one["bucket"] == other["bucket"]) & (F.col("part") < F.col("p_part")) & alike & close)
+            same = (F.col("bucket") == F.col("p_bucket")) & (F.col("row_block") == F.col("p_row_block")) & (F.col("column_block") == F.col("p_column_block"))
+            pairs = one.join(other, same & (F.col("part") < F.col("p_part")) & alike & close)
             found = pairs.select(F.col("digest").alias("a"), F.col("p_digest").alias("b")).distinct()
         found = written(found, "links")
         links = found if links is None else links.unionByName(found)

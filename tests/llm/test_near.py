@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import pyarrow as pa
+import pytest
 
 from leadtide.llm import near
 from leadtide.llm.common import documents
@@ -31,6 +32,31 @@ def test_chains_of_links_form_one_class(spark):
     assert {r.doc_id: r.class_id for r in near.classes(frame).collect()} == near_classes(rows)
 
 
+@pytest.mark.parametrize("block", [1, 3, 256])
+def test_a_large_bucket_in_blocks(spark, monkeypatch, block):
+    """Without pivots every link comes from the comparison inside buckets."""
+    monkeypatch.setattr(near, "ROUNDS", 0)
+    rng = random.Random(6)
+    base = [f"w{k}" for k in range(120)]
+    rows = []
+    for i in range(40):
+        words = list(base)
+        for _ in range(rng.choice([1, 2, 9])):
+            words[rng.randrange(120)] = f"n{i}-{rng.randrange(9)}"
+        rows.append((i, " ".join(words)))
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert {r.doc_id: r.class_id for r in near.classes(frame, block=block).collect()} == near_classes(rows)
+
+
+def test_a_pair_just_at_the_threshold(spark):
+    rows = []
+    for i in range(6):  # 80,000 shingles in common of 100,000: a collision of two would lose the pair
+        words = [f"w{i}-{k}" for k in range(90_000)]
+        rows += [(2 * i, " ".join(words)), (2 * i + 1, " ".join(words[10_000:] + [f"y{i}-{k}" for k in range(10_004 - 8)]))]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert {r.doc_id: r.class_id for r in near.classes(frame).collect()} == near_classes(rows)
+
+
 def test_a_part_repeated_in_one_copy_hides_no_pair(spark):
     rows = []
     for i in range(12):  # sets at 100 of 124, whatever the line is repeated

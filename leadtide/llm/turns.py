@@ -50,6 +50,8 @@ INITIALS = "sua"
 #: Rows of a block, as a power of two, and cells of the tables that one task holds at a time.
 BLOCK = 9
 CELLS = 4_000_000
+#: Rows that one task aligns.
+TASK_ROWS = 100_000
 #: States: start, after s, after u, after a. What follows a state: u, except after u.
 START, S, U, A = range(4)
 _FAR = np.int32(1 << 28)
@@ -88,7 +90,7 @@ def _hashes() -> list[Column]:
 
 
 def coded(rows: DataFrame, block: int = BLOCK) -> DataFrame:
-    """conv_id, block, at, turn, code: rows in order; code is four times the place of the initial in
+    """conv_id, block, at, turn, code: rows with their place, dealt by block; code is four times the place of the initial in
     ``INITIALS`` (3 for others) plus the fault."""
     last = F.substring(F.rtrim(F.col("text"), F.lit(WHITE.decode())), -1, 1)
     initial = F.instr(F.lit(INITIALS), F.substring("role", 1, 1))
@@ -101,7 +103,10 @@ def coded(rows: DataFrame, block: int = BLOCK) -> DataFrame:
     first = dealt.groupBy("conv_id", "h1", "h2").agg(F.min("at").alias("at")).select("at", F.lit(True).alias("first"))
     told = dealt.join(first, "at", "left")
     fault = F.when(F.col("fault") == BLANK_FAULT, BLANK_FAULT).when(F.col("first").isNull(), DUPLICATE_FAULT).otherwise(F.col("fault"))
-    return told.select("conv_id", F.shiftright("at", block).alias("block"), "at", "turn", (4 * F.col("initial") + fault).alias("code"))
+    codes = told.select("conv_id", F.shiftright("at", block).alias("block"), "at", "turn", (4 * F.col("initial") + fault).alias("code"))
+    # Rows of a few bytes that take long: a set number of tasks, or the adaptive plan puts all into one.
+    tasks = max(rows.sparkSession.sparkContext.defaultParallelism, -(-dealt.count() // TASK_ROWS))
+    return codes.repartition(tasks, "conv_id", "block")
 
 
 # The alignment of one block

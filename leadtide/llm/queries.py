@@ -205,6 +205,79 @@ FROM p
 """
 
 
+def _turns_sql() -> str:
+    """The cheapest edits from the end, state by state of the grammar; a way is its cost in ten digits and its audit."""
+
+    def step(way: str, cost: str, letter: str) -> str:
+        return f"printf('%010d', substr({way}, 1, 10)::BIGINT + {cost}) || '{letter}' || substr({way}, 11)"
+
+    def row(here: str, *after: str) -> str:
+        ways = [step(here, "2", "D")]
+        for x in after:
+            keep = f"CASE WHEN free AND r = '{x}' THEN {step(x, 'more', 'K')} END"
+            ways += [keep] if x == "s" else [keep, f"CASE WHEN free AND r <> '{x}' THEN {step(x, 'more + 1', 'R')} END"]
+        return f"least({', '.join(ways)})"
+
+    def inserted(u: str, a: str) -> str:
+        return (f"least(z, {step(u, '5', 'I')}) AS z, least(s, {step(u, '5', 'I')}) AS s, "
+                f"least(u, {step(a, '5', 'I')}) AS u, least(a, {step(u, '5', 'I')}) AS a")
+
+    return rf"""
+WITH RECURSIVE c AS ({CRC_TABLE}),
+d AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    {crc_sql("coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ')", "remainders")} % 20 AS kind
+  FROM conversations, c
+), x AS (
+  SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+    CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+    unnest(range(CASE WHEN kind = 3 THEN 2 ELSE 1 END)) AS time
+  FROM d WHERE kind <> 0
+), o AS (
+  SELECT *, row_number() OVER w AS i, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, time) AS seen,
+    count(*) OVER (PARTITION BY conv_id) AS n, left(role, 1) AS r, left(lag(role) OVER w, 1) || left(role, 1) AS pair
+  FROM x WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, time)
+), f AS (
+  SELECT *, fault NOT IN ('blank', 'duplicate') AS free, CASE fault WHEN 'truncated' THEN 5 ELSE 0 END AS more FROM (
+    SELECT *, CASE WHEN NOT regexp_matches(text, '[^ 	-]') THEN 'blank' WHEN seen > 1 THEN 'duplicate'
+      WHEN NOT regexp_matches(text, '[.!?][ 	-]*$') THEN 'truncated' ELSE '' END AS fault FROM o
+  )
+), b AS (
+  SELECT conv_id, max(n) + 1 AS i, '0000000000' AS z, '0000000010II' AS s, '0000000005I' AS u, '0000000000' AS a FROM f GROUP BY conv_id
+  UNION ALL
+  SELECT conv_id, i, {inserted('u1', 'a1')} FROM (
+    SELECT *, least(u, {step('a', '5', 'I')}) AS u1, least(a, {step('u', '5', 'I')}) AS a1 FROM (
+      SELECT b.conv_id, f.i, {row('z', 's', 'u')} AS z, {row('s', 'u')} AS s, {row('u', 'a')} AS u, {row('a', 'u')} AS a
+      FROM b JOIN f ON f.conv_id IS NOT DISTINCT FROM b.conv_id AND f.i = b.i - 1
+    )
+  )
+), best AS (SELECT conv_id, substr(z, 1, 10)::BIGINT AS cost, substr(z, 11) AS audit FROM b WHERE i = 1),
+l AS (
+  SELECT conv_id, k, letter, sum((letter <> 'I')::INT) OVER w AS i, sum((letter <> 'D')::INT) OVER w AS place
+  FROM (SELECT conv_id, unnest(range(1, length(audit) + 1)) AS k, substr(audit, k, 1) AS letter FROM best)
+  WINDOW w AS (PARTITION BY conv_id ORDER BY k)
+), m AS (
+  SELECT l.*, f.role, f.text, bool_or(letter = 'K' AND f.r = 's') OVER (PARTITION BY l.conv_id) AS system
+  FROM l LEFT JOIN f ON f.conv_id IS NOT DISTINCT FROM l.conv_id AND f.i = l.i AND letter <> 'I'
+), t AS (
+  SELECT conv_id, string_agg(CASE WHEN letter = 'K' THEN role WHEN (place + coalesce(system, false)::INT) % 2 = 1 THEN 'user' ELSE 'assistant' END
+    || ':' || coalesce(text, ''), chr(10) ORDER BY k) AS said
+  FROM m WHERE letter <> 'D' GROUP BY conv_id
+), counts AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (WHERE fault = 'blank') AS blank,
+    count(*) FILTER (WHERE fault = 'duplicate') AS duplicate, count(*) FILTER (WHERE fault = 'truncated') AS truncated,
+    count(*) FILTER (WHERE i > 1 AND pair NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM f GROUP BY conv_id
+)
+SELECT e.conv_id, {", ".join(f"coalesce({x}, 0)::BIGINT AS {x}" for x in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost"))},
+  coalesce(audit, '') AS audit, sha256(coalesce(said, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) e
+LEFT JOIN counts ON counts.conv_id IS NOT DISTINCT FROM e.conv_id
+LEFT JOIN best ON best.conv_id IS NOT DISTINCT FROM e.conv_id
+LEFT JOIN t ON t.conv_id IS NOT DISTINCT FROM e.conv_id
+"""
+
+
 ORACLES = {
     "op1_line_dedup": r"""
 WITH l AS (
@@ -267,6 +340,7 @@ FROM o JOIN s USING (source) WHERE block % share = j AND block // share >= from_
 """,
     "op6_secret_scan": _secrets_sql(),
     "op11_filter_audit": _audit_sql(),
+    "op12_turn_repair": _turns_sql(),
     "op13_hilbert_shards": _shards_sql(),
     "op9_quality_rules": r"""
 WITH t AS (

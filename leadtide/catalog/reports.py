@@ -13,6 +13,7 @@ from leadtide.operators import explore, monitor, report
 from leadtide.operators.evaluate import evaluate, to_wide
 from leadtide.operators.windows import trailing_mean
 from leadtide.operators.blocks import over_series
+from leadtide.session import stored
 from leadtide.sources.observations import numeric_columns
 from leadtide.sources.stores import (
     METRICS, PARAMETERS, PREDICTIONS, nested_to_rows, parameter_rows, read_table, write_table,
@@ -254,7 +255,7 @@ def u1_union_fit_parts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def u2_union_metric_tables(spark: SparkSession, sf: str) -> DataFrame:
-    m = worked.naive_metrics(spark, sf)
+    m = stored(worked.naive_metrics(spark, sf), "metrics")  # a few rows, computed once for all six tables
     tables = []
     for model in worked.NAIVE:
         for kind in ("Train", "Test"):

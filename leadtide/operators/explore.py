@@ -13,6 +13,9 @@ from leadtide.operators.quantiles import quartiles_wide
 from leadtide.operators.report import fill_categories
 
 SEASONS = ("Dry", "Rainy")
+#: Cells of a bandwidth, and bandwidths that a kernel reaches (beyond them it is below 1e-20).
+FINE = 1000
+REACH = 10
 
 
 def with_calendar(df: DataFrame, time: str = TIME) -> DataFrame:
@@ -80,24 +83,34 @@ def histogram(df: DataFrame, column: str = TARGET, bins: int = 30) -> DataFrame:
 def density(df: DataFrame, column: str = TARGET, points: int = 200) -> DataFrame:
     """Gaussian kernel density on a grid from minimum to maximum, bandwidth n^(-1/5) * deviation.
 
-    A value meets the fixed grid in its own task, which adds up each grid point: the shuffle has
-    ``points`` rows per task. Fewer than two known values, or equal ones, have no density: no rows.
+    Linear binning: a value gives its weight to the two ends of its cell, ``FINE`` cells to a
+    bandwidth, so one aggregate of counts stands for all rows. The cells are then spread over the grid
+    points in their reach. The error is below 1 / (8 * FINE ** 2) of the kernel's peak, about 1e-7.
+    Fewer than two known values, or equal ones, have no density: no rows.
     """
     x = F.col(column)
     s = df.agg(F.min(x).alias("lo"), F.max(x).alias("hi"), F.count(x).alias("n"), F.stddev_samp(x).alias("sd")).first()
     if not s["sd"]:
         return df.sparkSession.createDataFrame([], "point int, x double, density double")
-    bw = s["n"] ** -0.2 * s["sd"]
-    step = (s["hi"] - s["lo"]) / (points - 1)
-    known = df.where(x.isNotNull()).select(x.alias("x"))
-    at = F.lit(s["lo"]) + F.col("point") * F.lit(step)
-    z = (at - F.col("x")) / F.lit(bw)
-    norm = s["n"] * bw * 2.5066282746310002
-    return (
-        known.withColumn("point", F.explode(F.sequence(F.lit(0), F.lit(points - 1))))
-        .groupBy("point")
-        .agg((F.sum(F.exp(-0.5 * z * z)) / F.lit(norm)).alias("density"))
-        .select("point", at.alias("x"), "density")
+    lo, bw, step = s["lo"], s["n"] ** -0.2 * s["sd"], (s["hi"] - s["lo"]) / (points - 1)
+    width = bw / FINE
+    place = (x - F.lit(lo)) / F.lit(width)
+    cells = df.where(x.isNotNull()).groupBy(F.floor(place).alias("cell")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(place - F.floor(place)).alias("right")
+    )
+    ends = F.array(
+        F.struct(F.col("cell").alias("cell"), (F.col("n") - F.col("right")).alias("weight")),
+        F.struct((F.col("cell") + 1).alias("cell"), F.col("right").alias("weight")),
+    )
+    centre = F.col("cell") * F.lit(width)
+    first = F.greatest(F.ceil((centre - REACH * bw) / F.lit(step)), F.lit(0)).cast("int")
+    last = F.least(F.floor((centre + REACH * bw) / F.lit(step)), F.lit(points - 1)).cast("int")
+    z = (F.col("point") * F.lit(step) - centre) / F.lit(bw)
+    spread = cells.select(F.inline(ends)).where(first <= last).withColumn("point", F.explode(F.sequence(first, last)))
+    sums = spread.groupBy("point").agg((F.sum(F.col("weight") * F.exp(-0.5 * z * z)) / F.lit(s["n"] * bw * 2.5066282746310002)).alias("density"))
+    every = df.sparkSession.range(points).select(F.col("id").cast("int").alias("point"))
+    return every.join(sums, "point", "left").select(
+        "point", (F.lit(lo) + F.col("point") * F.lit(step)).alias("x"), F.coalesce("density", F.lit(0.0)).alias("density")
     )
 
 

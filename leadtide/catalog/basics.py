@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from leadtide.catalog import worked
@@ -174,17 +174,21 @@ def b22_temperature_band(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(df.select(*KEY, "temp", temperature_band(F.col("temp")).alias("band")))
 
 
+def _clean(x: Column) -> Column:
+    """Without the noise that the order of a sum leaves in a double's last digits."""
+    return F.round(x, 9)
+
+
 def b23_round_tenth(spark: SparkSession, sf: str) -> DataFrame:
     df, _ = worked.daily(spark, sf)
-    return df.select(*KEY, F.round(F.col("temp") + 1e-7, 1).alias("temp_plot"), F.round(F.col("windspeed") + 1e-7, 1).alias("wind_plot"))
+    return df.select(*KEY, *[F.round(_clean(F.col(c)), 1).alias(name) for c, name in (("temp", "temp_plot"), ("windspeed", "wind_plot"))])
 
 
 def b24_number_text(spark: SparkSession, sf: str) -> DataFrame:
     m = worked.naive_metrics(spark, sf)
     return m.select(
-        "model", "metric_type", "horizon",
-        decimals(F.col("rmse") + 1e-9).alias("rmse"), decimals(F.col("mae") + 1e-9, 3).alias("mae"),
-        percent(F.col("mape") + 1e-12).alias("mape"),
+        "model", "metric_type", "horizon", decimals(_clean(F.col("rmse"))).alias("rmse"),
+        decimals(_clean(F.col("mae")), 3).alias("mae"), percent(_clean(F.col("mape"))).alias("mape"),
     )
 
 

@@ -160,6 +160,11 @@ forecasts AS (SELECT series_id, datetime, temp AS last_value, h AS horizon,
 CYCLE_W = "WINDOW w AS (PARTITION BY series_id ORDER BY datetime)"
 
 
+def half_up(x: str, digits: int) -> str:
+    """Rounded as a decimal, once the noise in the last digits of a double is gone."""
+    return f"round(round({x}, 9)::DECIMAL(38, 9), {digits})"
+
+
 def _simple(cte: str, select: str, source: str, tail: str = "") -> str:
     return f"WITH {cte} SELECT {select} FROM {source} {tail}"
 
@@ -223,8 +228,8 @@ ORACLES = {
     "b20_forecast_date": _simple(LAST_FORECASTS, "series_id, horizon, datetime + to_days(horizon) AS day_ahead, datetime + to_hours(horizon) AS hour_ahead", "forecasts"),
     "b21_trend_sign": _simple(LAST_FORECASTS, f"series_id, horizon, {r('pred - last_value', 'delta')}, CASE WHEN pred - last_value >= 0 THEN 'up' ELSE 'down' END AS trend", "forecasts"),
     "b22_temperature_band": _simple(OBS_DAILY, f"{KEY}, {r('temp')}, CASE WHEN temp >= 35 THEN 1 WHEN temp >= 31 THEN 2 WHEN temp >= 28 THEN 3 WHEN temp >= 25 THEN 4 WHEN temp >= 22 THEN 5 ELSE 6 END AS band", "obs_daily"),
-    "b23_round_tenth": _simple(OBS_DAILY, f"{KEY}, round(temp + 1e-7, 1) AS temp_plot, round(windspeed + 1e-7, 1) AS wind_plot", "obs_daily"),
-    "b24_number_text": _simple(NAIVE, "model, metric_type, horizon, printf('%.4f', rmse + 1e-9) AS rmse, printf('%.3f', mae + 1e-9) AS mae, concat(printf('%.2f', (mape + 1e-12) * 100), '%') AS mape", "metrics"),
+    "b23_round_tenth": _simple(OBS_DAILY, f"{KEY}, {half_up('temp', 1)}::DOUBLE AS temp_plot, {half_up('windspeed', 1)}::DOUBLE AS wind_plot", "obs_daily"),
+    "b24_number_text": _simple(NAIVE, f"model, metric_type, horizon, {half_up('rmse', 4)}::VARCHAR AS rmse, {half_up('mae', 3)}::VARCHAR AS mae, {half_up('round(mape, 9) * 100', 2)}::VARCHAR || '%' AS mape", "metrics"),
     "b25_map_labels": _simple(NAIVE, "upper(model) AS model_upper, CASE model WHEN 'last_value' THEN 'Last Value' WHEN 'lag_mean_24' THEN 'Lag Mean 24' ELSE 'Half Way' END AS model_title, horizon, metric_type || ' R²' AS label", "metrics"),
     "b27_label_columns": _simple(OBS_DAILY, "CAST(year(datetime) AS INTEGER) AS year, count(*) AS n_rows, 'Linear' AS model_type, 'Train' AS metric_type", "obs_daily", "GROUP BY 1"),
     "b28_rename": _simple(NAIVE, 'model AS "Model", metric_type AS "Kind", horizon AS "Horizon", n_rows AS "N"', "metrics"),

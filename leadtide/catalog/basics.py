@@ -19,7 +19,7 @@ from leadtide.operators.windows import (
     centred_band, difference, fill_gaps, lagged, lead_targets, trailing_mean, trailing_sum,
 )
 from leadtide.sources.observations import numeric_columns, parse_time, parse_time_or_null
-from leadtide.sources.stores import read_split, write_splits
+from leadtide.sources.stores import read_split, write_splits, read_series, write_series
 from leadtide.session import scratch_table
 
 KEY = ("series_id", "datetime")
@@ -54,6 +54,19 @@ def a3_write_splits(spark: SparkSession, sf: str) -> DataFrame:
     return read_split(spark, path).groupBy("series_id", "split").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
+def _stored_series(blocked: bool):
+    def query(spark: SparkSession, sf: str) -> DataFrame:
+        """Lead targets from a table stored by series and time, without a shuffle."""
+        df, layout = worked.hourly(spark, sf, BLOCK if blocked else None)
+        path = scratch_table(spark, "series")
+        name = path.rstrip("/").rsplit("/", 1)[-1].replace("-", "_")
+        write_series(df, layout, name, path, ahead=max(HORIZONS))
+        rows, known = read_series(spark, name, path)
+        return rounded(lead_targets(rows, known, HORIZONS).select(*KEY, *TARGETS))
+
+    return query
+
+
 def a8_parse_timestamps(spark: SparkSession, sf: str) -> DataFrame:
     events = spark.read.parquet(f"{sf}/events.parquet")
     text = events.select("event_id", F.col("ts").cast("string").alias("datetime"))
@@ -373,6 +386,8 @@ QUERIES = {
     "a1_read_daily_observations": a1_read_daily_observations,
     "a2_read_split": a2_read_split,
     "a3_write_splits": a3_write_splits,
+    "a3_stored_series": _stored_series(False),
+    "a3_stored_series_blocked": _stored_series(True),
     "a8_parse_timestamps": a8_parse_timestamps,
     "a9_parse_or_null": a9_parse_or_null,
     "b1_calendar_parts": b1_calendar_parts,

@@ -234,6 +234,8 @@ ORACLES = {
     "b27_label_columns": _simple(OBS_DAILY, "CAST(year(datetime) AS INTEGER) AS year, count(*) AS n_rows, 'Linear' AS model_type, 'Train' AS metric_type", "obs_daily", "GROUP BY 1"),
     "b28_rename": _simple(NAIVE, 'model AS "Model", metric_type AS "Kind", horizon AS "Horizon", n_rows AS "N"', "metrics"),
     "b29_date_text": _simple(OBS_DAILY, f"{KEY}, strftime(datetime, '%A') AS day_name, strftime(datetime, '%d %b %Y') AS day_text, strftime(datetime, '%b %d') AS short_text", "obs_daily"),
+    "a3_stored_series": _leads_query(range(1, 8)),
+    "a3_stored_series_blocked": _leads_query(range(1, 8)),
     "w1_lead_targets": _leads_query(range(1, 8)),
     "w1_lead_targets_blocked": _leads_query(range(1, 8)),
     "w1_lead_targets_weekly": _leads_query((24, 48, 72, 96, 120, 144, 168)),

@@ -45,6 +45,7 @@ class SeriesLayout:
     """How the rows of one frame are cut. ``spans`` and ``cells`` are None when nothing is cut.
 
     ``rows`` is an upper bound for the number of rows of the frame. ``ties`` order rows of one time.
+    ``entered`` is set for a stored frame that has its blocks, with so many rows copied (back, ahead).
     """
 
     keys: tuple[str, ...] = KEYS
@@ -55,6 +56,7 @@ class SeriesLayout:
     broadcast_cells: bool = True
     rows: int | None = None
     ties: tuple[str, ...] = ()
+    entered: tuple[int, int] | None = None
 
     @property
     def order(self) -> list[str]:
@@ -63,7 +65,7 @@ class SeriesLayout:
 
     @property
     def blocked(self) -> bool:
-        return self.cells is not None
+        return self.cells is not None or self.entered is not None
 
     @property
     def helpers(self) -> list[str]:
@@ -207,6 +209,10 @@ def enter(df: DataFrame, layout: SeriesLayout, back: int = 0, ahead: int = 0) ->
     """
     if not layout.blocked:
         return df
+    if layout.entered is not None:
+        if back > layout.entered[0] or ahead > layout.entered[1]:
+            raise ValueError(f"the stored frame has {layout.entered} rows copied over block borders, {(back, ahead)} are needed")
+        return df
     if max(back, ahead) > layout.block_rows // 2:
         raise ValueError("a window may reach over half a block at most; use larger blocks")
     cells = F.broadcast(layout.cells) if layout.broadcast_cells else layout.cells

@@ -52,3 +52,22 @@ def test_split_read_is_pruned(spark, tmp_path):
 def test_last_rows_are_cut_before_the_shuffle(spark):
     text = plan(queries()["s4_last_rows"](spark, SF))
     assert "WindowGroupLimit" in text
+
+
+@pytest.mark.parametrize("block_rows", [None, 100])
+def test_windows_over_a_stored_series_need_no_shuffle(spark, tmp_path, block_rows):
+    from leadtide.operators.windows import lead_targets
+    from leadtide.sources.stores import read_series, write_series
+
+    df, layout = worked.hourly(spark, SF, block_rows)
+    assert layout.blocked == (block_rows is not None)
+    name = f"stored_{block_rows or 'whole'}"
+    write_series(df, layout, name, str(tmp_path / "s"), ahead=7)
+    rows, known = read_series(spark, name, str(tmp_path / "s"))
+    targets = lead_targets(rows, known, (1, 7))
+    assert "Exchange" not in plan(targets) and "Window" in plan(targets)
+    assert sorted(map(repr, targets.collect())) == sorted(map(repr, lead_targets(df, layout, (1, 7)).select(targets.columns).collect()))
+    if block_rows:
+        with pytest.raises(ValueError, match="copied"):
+            lead_targets(rows, known, (8,))
+    spark.sql(f"DROP TABLE {name}")

@@ -13,16 +13,17 @@ from leadtide.catalog.rounding import rounded
 from leadtide.catalog.worked import HORIZONS
 from leadtide.config import (
     DAILY, DAILY_GAP_ROWS, FOLDS, HOURLY, HOURLY_GAP_ROWS, HOURLY_HORIZONS, LEAF_RATE, LEAST_LEAF_ROWS, LEAVES,
-    N_ESTIMATORS_RANGE, NEXT_DAY_HORIZONS, NUM_LEAVES_RANGE, PATIENCE, TREE_RANGES,
+    N_ESTIMATORS_RANGE, NEXT_DAY_HORIZONS, NUM_LEAVES_RANGE, PATIENCE, TREE_RANGES, pred_name, target_name,
 )
 from leadtide.operators.evaluate import evaluate, to_long
 from leadtide.operators.features import build_features, feature_pipeline, final_columns
 from leadtide.operators.boosting import Boost, boost, boost_per_horizon, score_boosted
 from leadtide.operators.models import (
-    LinearParams, assemble, decision_tree, fit_linear_by_sums, fit_linear_per_horizon, label_statistics, linear_estimator,
+    LinearParams, assemble, decision_tree, fit_linear_by_sums, fit_linear_per_horizon, horizons_by_rows, label_statistics, linear_estimator,
     linear_model_rows, linear_models_from_rows, random_forest, score_linear, score_models,
 )
 from leadtide.operators.report import best_trial
+from leadtide.operators.sums import one_label, product_sums
 from leadtide.operators.scaling import apply_robust_scaler, fit_robust_scaler, robust_constants, scale_per_group
 from leadtide.operators.tuning import draw_linear, draw_trees, search_linear, search_trees
 from leadtide.plans.chain import bake_off, bake_off_table, forecast_metrics, linear_parameters, prepare, prepared_features, score, train
@@ -128,6 +129,34 @@ def m11_m13_hourly_chain(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(forecast_metrics(df, layout, HOURLY, params)[1])
 
 
+def _optimality(variant: str, spec, horizons, params: LinearParams):
+    def query(spark: SparkSession, sf: str) -> DataFrame:
+        """Per horizon and column of the chain's models: how far the gradient of the squared errors on
+        the fit part is from what the penalty asks for, and the rows that were fitted."""
+        df, layout = getattr(worked, variant)(spark, sf)
+        ready, columns = prepared_features(df, layout, spec, horizons)
+        ready = stored(ready, "features")
+        trained = train(ready, columns, {h: params for h in horizons}, layout.rows)
+        scored = score(ready.where(F.col("part") == "fit"), trained)
+        left = [(F.col(target_name(h)) - F.col(pred_name(h))).alias(f"e{h}") for h in horizons]
+        errors = stored(scored.select(*columns, *[target_name(h) for h in horizons], *left), "errors")
+        rows = []
+        for group in horizons_by_rows(errors, horizons):
+            sums, centre = product_sums(errors, columns, [f"e{h}" for h in group])
+            whole = sums.first()["sums"]  # as wide as the columns and horizons
+            for i, h in enumerate(group):
+                m = one_label(whole, len(group), i)
+                n, last = m[0, 0], len(columns) + 1
+                gradient = (m[1:last, last] + centre[i] * m[0, 1:last]) / n
+                for c, g, w in zip(columns, gradient, trained.models[h].weights):
+                    asked = params.alpha * w / n if params.kind == "Ridge" else params.alpha * ((w > 0) - (w < 0))
+                    off = abs(g - asked) if params.kind == "Ridge" or w else max(0.0, abs(g) - params.alpha)
+                    rows.append((h, c, int(n), round(float(off), 4) + 0.0))
+        return spark.createDataFrame(rows, "horizon int, feature string, n_rows bigint, off double")
+
+    return query
+
+
 def a7_saved_models(spark: SparkSession, sf: str) -> DataFrame:
     """Models saved per horizon, loaded again and used."""
     from pyspark.ml import PipelineModel
@@ -355,6 +384,8 @@ QUERIES = {
     "m11_m13_daily_chain": m11_m13_daily_chain,
     "m11_m13_hourly_chain": m11_m13_hourly_chain,
     "m11_next_day_chain": m11_next_day_chain,
+    "m11_daily_optimality": _optimality("daily", DAILY, HORIZONS, LinearParams("Ridge", 10.0)),
+    "m11_hourly_optimality": _optimality("hourly", HOURLY, HOURLY_HORIZONS, LinearParams("Lasso", 0.01)),
     "a7_saved_models": a7_saved_models,
     "a7_saved_chain": a7_saved_chain,
     "a7_saved_lines": a7_saved_lines,

@@ -7,7 +7,7 @@ from leadtide.catalog.oracles_basics import (
     part_of, r, rs,
 )
 from leadtide.config import (
-    ALPHA_RANGE, L1_RATIO_RANGE, LINEAR_MODELS, N_ESTIMATORS_RANGE, NUM_LEAVES_RANGE, TREE_RANGES,
+    ALPHA_RANGE, HOURLY_HORIZONS, L1_RATIO_RANGE, LINEAR_MODELS, N_ESTIMATORS_RANGE, NUM_LEAVES_RANGE, TREE_RANGES,
 )
 
 
@@ -187,7 +187,19 @@ d AS (
 ), stop AS (SELECT * FROM seen WHERE t - best >= 5 OR t = 40 ORDER BY t LIMIT 1)
 SELECT m::BIGINT AS n_rows, {r('sqrt(least)', 'rmse', 4)}, best::INT AS best_iteration, t::INT AS grown FROM stop"""
 
+
+def _at_optimum(split: str, horizons: tuple[int, ...], columns: list[str], cte: str) -> str:
+    """The gradient is where the penalty wants it; the rows are those with a known target in the fit part."""
+    each = " UNION ALL ".join(
+        f"SELECT {h} AS horizon, count(lead_{h}) AS n_rows FROM (SELECT split, lead(temp, {h}) OVER (PARTITION BY series_id ORDER BY datetime) AS lead_{h} "
+        f"FROM {split}) WHERE split <> 'test'" for h in horizons)
+    names = ", ".join(f"('{c}')" for c in columns)
+    return f"WITH {cte}, n AS ({each}), f(feature) AS (VALUES {names}) SELECT horizon, feature, n_rows, 0e0 AS off FROM n, f"
+
+
 ORACLES = {
+    "m11_daily_optimality": _at_optimum("split_daily", tuple(range(1, H + 1)), DAILY_COLUMNS, SPLIT_DAILY),
+    "m11_hourly_optimality": _at_optimum("split_hourly", HOURLY_HORIZONS, HOURLY_COLUMNS, SPLIT_HOURLY),
     "m10_one_input_stop": _STUMPS,
     "m15_one_input_search": _ONE_INPUT_SEARCH,
     "m16_draw_linear": _DRAW_LINEAR,

@@ -46,6 +46,8 @@ BANDS = 24
 ROWS = 5
 #: Rounds of pivots before what is not connected is compared.
 ROUNDS = 2
+#: Bytes of one text that are cut into words at a time.
+PART = 1 << 20
 #: Nodes of a bucket that are compared with each other in one task.
 BLOCK = 256
 
@@ -61,19 +63,49 @@ def _odd(n: int) -> np.ndarray:
     return _mix(np.arange(1, n + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
 
 
-def shingle_sets(texts: pa.Array, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(hashes, counts, bounds): document i has the ascending distinct hashes[bounds[i]:bounds[i + 1]]."""
+def _parts(texts: pa.Array, most: int = PART) -> Iterator[pa.Array]:
+    """The texts, or one long text in parts of about ``most`` bytes that end between words."""
+    if len(texts) != 1 or not texts[0].is_valid or texts[0].as_buffer().size <= most:
+        yield texts
+        return
+    whole = memoryview(texts[0].as_buffer())
+    at = 0
+    while at < len(whole):
+        end = at + most
+        while end < len(whole) and not (cut := max(bytes(whole[at:end]).rfind(c) for c in (b" ", b"\t", b"\n", b"\x0b", b"\x0c", b"\r")) + 1):
+            end += most  # a word longer than a part
+        end = at + cut if end < len(whole) else len(whole)
+        yield pa.array([bytes(whole[at:end])], pa.binary()).cast(pa.string())
+        at = end
+
+
+def _words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(hash, document) of each word."""
     import xxhash
 
-    n = len(texts)
     split = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
-    docs = np.repeat(np.arange(n), pc.list_value_length(split).to_numpy(zero_copy_only=False))
+    docs = np.repeat(np.arange(len(texts)), pc.list_value_length(split).to_numpy(zero_copy_only=False))
     flat = split.flatten()
     full = pc.greater(pc.binary_length(flat), 0).to_numpy(zero_copy_only=False)
     words = flat.dictionary_encode()
     known = np.fromiter((xxhash.xxh3_64_intdigest(w) for w in words.dictionary.to_pylist()), np.uint64, len(words.dictionary))
-    docs = docs[full]
     word = known[words.indices.to_numpy(zero_copy_only=False)[full]] if len(known) else np.empty(0, np.uint64)
+    return word, docs[full]
+
+
+def shingle_sets(texts: pa.Array, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hashes, counts, bounds): document i has the ascending distinct hashes[bounds[i]:bounds[i + 1]].
+
+    A long text is cut into words part by part; of the whole text only a number per word is held.
+    """
+    n = len(texts)
+    parts = [_words(part) for part in _parts(texts)]
+    if len(parts) == 1:
+        word, docs = parts[0]
+    else:  # one long text
+        word = np.concatenate([w for w, _ in parts])
+        docs = np.zeros(len(word), np.int64)
+    del parts
     odd = _odd(size)
     per_doc = np.bincount(docs, minlength=n)
     ends = np.cumsum(per_doc)

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -106,3 +107,24 @@ def test_odd_rows(spark):
     assert kept.columns == docs.columns and kept.count() == sum(r.kept for r in got)
     assert near.classes(none(spark)).count() == near.drop_near(none(spark)).count() == 0
     assert near.classes(odd(spark).filter("doc_id = 6")).count() == 1
+
+
+@pytest.mark.parametrize("most", [1, 5, 40, 10_000])
+def test_a_long_text_in_parts_has_the_same_set(monkeypatch, most):
+    rng = random.Random(most)
+    text = "".join(rng.choice(["ab", "é", "longer-word", " ", "\t", "\n ", "日本", " x "]) for _ in range(400))
+    want = near.shingle_sets(pa.array([text]))
+    assert "".join(p[0].as_py() for p in near._parts(pa.array([text]), most)) == text
+    whole = near._parts
+    monkeypatch.setattr(near, "_parts", lambda texts: whole(texts, most))
+    for got, w in zip(near.shingle_sets(pa.array([text])), want):
+        assert np.array_equal(got, w)
+
+
+def test_a_very_long_text_needs_little_memory():
+    text = " ".join(f"w{i % 50_000}" for i in range(3_000_000))
+    tracemalloc.start()
+    hashes, counts, bounds = near.shingle_sets(pa.array([text]))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(text) > 20_000_000 and len(hashes) == 50_000 and counts.sum() == 3_000_000 - 4 and peak < 250e6

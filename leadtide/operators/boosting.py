@@ -613,6 +613,8 @@ def boost(
     ``data`` has ``group`` (int), ``id`` (unique in a group), ``train`` (false for validation rows), the
     feature columns and the labels. Without ``trees`` only rounds and losses come back, for searches.
     """
+    if not models:
+        return []
     columns, labels = list(columns), sorted({p.label for p in models})
     data = data.select(F.col("group").cast("int").alias("group"), "id", "train", *[F.col(f"`{c}`") for c in [*columns, *labels]])
     data = stored(data, "rows")

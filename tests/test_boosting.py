@@ -135,6 +135,7 @@ def test_best_first_takes_the_best_leaf(spark, table):
 
 
 def test_odd_tables(spark, table):
+    assert boost(table, COLUMNS, []) == []
     none = boost(table.limit(0), COLUMNS, [Boost("y")])
     assert none == [None]
     flat = table.withColumn("y", F.lit(2.5))

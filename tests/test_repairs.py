@@ -50,6 +50,24 @@ def test_penalized_fits_meet_their_optimality_conditions(case):
         assert (np.abs(slope[~on]) - alpha * ratio).max(initial=0) < 1e-6
 
 
+def test_penalized_fits_with_columns_of_very_different_spread():
+    rng = np.random.default_rng(0)
+    n, p = 400, 6
+    x = rng.normal(size=(n, p))
+    x[:, 0] *= 70.0
+    x[:, 2] = x[:, 1] + 2e-5 * x[:, 2]
+    y = x @ np.array([0.5, 1.0, 0.0, -1.0, 0.2, 0.0]) + 200 * (x[:, 2] - x[:, 1]) + rng.normal(size=n)
+    full = np.column_stack([np.ones(n), x, y - y.mean()])
+    alphas = [1.1e-5, 1.5e-5, 3e-5]
+    _, w = solve_many(full.T @ full, ["Lasso"] * 3, alphas, [1.0] * 3)
+    c = x - x.mean(axis=0)
+    for k, alpha in enumerate(alphas):
+        slope = c.T @ (c @ w[:, k] - (y - y.mean())) / n
+        on = w[:, k] != 0
+        assert np.abs(slope[on] + alpha * np.sign(w[on, k])).max(initial=0) < 1e-7
+        assert (np.abs(slope[~on]) - alpha).max(initial=0) < 1e-7
+
+
 def test_density_without_spread_has_no_rows(spark):
     for rows in ([], [(1.0,)], [(2.0,), (2.0,)], [(None,), (None,)]):
         assert density(spark.createDataFrame(rows, "temp double"), "temp").count() == 0

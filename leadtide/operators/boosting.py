@@ -6,10 +6,10 @@ sum of every (model, node, column, bin), and nothing else of the rows. Residuals
 a fixed grid, so these sums do not depend on the order of rows, tasks or partitions.
 
 Where a group's rows fit one task (``CELLS`` bytes of bins, checked by a count), models are dealt
-over tasks and each task grows its models from its copy of the rows: one job for all trials, folds
-and horizons. Larger groups stay spread out: each level is one aggregate over all models at once, and
-predictions are columns of a table that is written anew every few rounds. Both ways use the same
-``Tree`` and give the same models, bit for bit.
+over tasks and each task grows its models side by side from its copy of the rows (``Grove``): one job
+for all trials, folds and horizons. Larger groups stay spread out: each level is one aggregate over all
+models at once (``Tree``), and predictions are columns of a table that is written anew every few rounds.
+Both ways give the same models, bit for bit.
 
 Boosting goes on from where it stands: predictions and losses are kept from round to round, and a
 model whose validation loss has not improved for ``patience`` rounds stops; nothing is regrown.
@@ -37,6 +37,9 @@ from leadtide.session import stored
 MAX_BINS = 64
 #: Bytes of binned rows that one task may hold.
 CELLS = 32_000_000
+#: Rows, counted per model, that a task grows side by side, and models of a task where there are many.
+SIDE_ROWS = 1 << 15
+SIDE = 12
 #: Rounds between two writes of the predictions of spread-out groups, and models grown together there.
 KEEP_EVERY = 10
 TOGETHER = 64
@@ -301,29 +304,261 @@ def _loss(error: np.ndarray, scale: Scale) -> int:
     return int(np.rint((error / scale.reach) ** 2 * _LOSS_GRID).astype(np.int64).sum())
 
 
-def _grow_in_task(p: Boost, scale: Scale, bins: np.ndarray, keys: np.ndarray, ids: np.ndarray, y: np.ndarray, train: np.ndarray) -> Progress:
-    """One model from rows in memory."""
-    known = ~np.isnan(y)
-    fit, val = np.flatnonzero(train & known), np.flatnonzero(~train & known)
-    step = scale.reach / GRID
-    pred, done = np.full(len(y), scale.base), Progress(p)
-    while True:
-        g = np.zeros(len(y))
-        g[fit] = residuals(pred[fit], y[fit], step)
-        tree = Tree(p, drawn_columns(p, done.turn, bins.shape[1]), bins.shape[1], step)
-        rows = fit[drawn_rows(p, done.turn, ids[fit])]
-        drawn, some = keys[rows] if len(tree.columns) == len(keys[0]) else keys[np.ix_(rows, tree.columns)], g[rows]
-        at = np.zeros(len(y), np.int64)
-        while len(tree.open):
-            tree.learn(*histogram(tree, at[rows], drawn, some))
-            if not tree.expand():
+class Cells:
+    """Rows of a group as places in one row of cells: the bins of each column that varies, side by side."""
+
+    def __init__(self, bins: np.ndarray):
+        low, high = (bins.min(axis=0), bins.max(axis=0)) if len(bins) else (np.zeros(bins.shape[1], int),) * 2
+        used = np.flatnonzero(high > low)
+        used = used if len(used) else np.array([0])
+        many = (high - low).astype(int)[used] + 1
+        self.starts = np.cumsum(many) - many
+        self.size, self.first = int(many.sum()), int(many[0])
+        self.feature = np.repeat(used, many)
+        self.bin = np.arange(self.size) - np.repeat(self.starts, many) + np.repeat(low.astype(int)[used], many)
+        self.codes = (bins[:, used] + (self.starts - low[used])).astype(np.int32)
+        self.rooms: dict[tuple[int, int], np.ndarray] = {}
+
+    def room(self, name: tuple[int, int], places: int) -> np.ndarray:
+        """Memory for sums of so many places, used again by each tree."""
+        if name not in self.rooms or len(self.rooms[name]) < places:
+            self.rooms[name] = np.empty((places + places // 2, self.size))
+        return self.rooms[name][:places]
+
+    def count(self, rows: np.ndarray, place: np.ndarray, g: np.ndarray, places: int) -> list[np.ndarray]:
+        """Per (place, cell) the count plus the gradient sum in ``_UNIT``s; the two apart if the group has more rows than a slice."""
+        size, codes = places * self.size, self.codes
+        if len(codes) <= _SLICE:
+            key = codes[rows] + (place * self.size)[:, None]
+            return [np.bincount(key.ravel(), weights=np.repeat(g + 1.0, key.shape[1]), minlength=size).reshape(places, -1)]
+        n, s = np.zeros(size), np.zeros(size)
+        for i in range(0, len(rows), _SLICE):
+            key = codes[rows[i : i + _SLICE]] + (place[i : i + _SLICE] * self.size)[:, None]
+            both = np.bincount(key.ravel(), weights=np.repeat(g[i : i + _SLICE] + 1.0, key.shape[1]), minlength=size)
+            more = np.rint(both)
+            n += more
+            s += both - more
+        return [n.reshape(places, -1), s.reshape(places, -1)]
+
+
+class Grove:
+    """A tree for each of several models while they grow, level by level, on the same rows.
+
+    The same splits as ``Tree`` finds, node by node: sums are whole numbers of steps, so those of the
+    larger child are its parent's less those of the smaller one. Gradients are in ``_UNIT`` steps.
+    """
+
+    def __init__(self, models: Sequence[Boost], steps: np.ndarray, columns: Sequence[np.ndarray], cells: Cells):
+        k = len(models)
+        self.cells, self.models = cells, models
+        self.sure = np.array([max(p.reg_lambda, 1e-12) for p in models])
+        self.soft = np.array([p.reg_alpha for p in models], float) / steps / _UNIT
+        self.least = np.array([max(1, p.least_rows) for p in models], float)
+        self.enough = np.array([2 * p.least_rows for p in models])
+        self.deepest = np.array([p.max_depth for p in models])
+        self.leaves = np.array([p.num_leaves for p in models])
+        self.drawn = np.stack([np.isin(cells.feature, c) for c in columns])
+        self._hold(np.full((6, k), -1), np.zeros((3, k)), np.zeros((2, k)))
+        self.depth[:], self.tree[:] = 0, np.arange(k)
+        self.split, self.level = np.zeros(k, bool), 0
+
+    def _hold(self, whole: np.ndarray, numbers: np.ndarray, left: np.ndarray) -> None:
+        self._whole, self._numbers, self._left = whole, numbers, left
+        self.feature, self.left, self.cut, self.parent, self.depth, self.tree = whole
+        self.n, self.g, self.gain = numbers
+        self.left_n, self.left_g = left
+
+    def grow(self, flat: np.ndarray, place: np.ndarray, width: int, rows: np.ndarray, g: np.ndarray) -> np.ndarray:
+        """Grow all trees. ``place`` has the row in ``flat`` of each (model, row), ``rows`` those that take
+        part. The node that each (model, row) ends at."""
+        at = np.repeat(np.arange(len(self.models)), len(place) // len(self.models))
+        going, node, begin = np.arange(len(at)), at, place * width
+        asked = np.flatnonzero(self.deepest > 0)
+        last = None  # places and sums of the nodes asked before
+        while len(asked):
+            asked, rows, sums = self._histograms(asked, at, rows, place, g, last)
+            self._learn(asked, sums)
+            spot = np.full(len(self.gain), -1)
+            spot[asked] = np.arange(len(asked))
+            last = spot, sums
+            children = self._expand(asked)
+            if not len(children):
                 break
-            at = tree.moved(at, bins)
-        grown = tree.finish()
-        pred += grown.value[grown.kept[at]]
-        loss = _loss(pred[val] - y[val], scale) / len(val) if len(val) else None
-        if not done.add(grown, loss):
-            return done
+            some = np.flatnonzero(self.split.take(node))
+            going, node, begin = going.take(some), node.take(some), begin.take(some)
+            node = self.left.take(node) + (flat.take(begin + self.feature.take(node)) > self.cut.take(node))
+            at[going] = node
+            owner = self.tree[children]
+            asked = children[(self.depth[children] < self.deepest[owner]) & (self.n[children] >= self.enough[owner])]
+        return at
+
+    def _histograms(
+        self, asked: np.ndarray, at: np.ndarray, rows: np.ndarray, place: np.ndarray, g: np.ndarray, last: tuple | None
+    ) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+        """The nodes ``asked``, counted ones first, rows that are still at nodes in work, and the sums of the nodes."""
+        self.level += 1
+        up = self.parent[asked]
+        known = np.zeros(len(asked), bool) if last is None else (up >= 0) & (last[0][up] >= 0)
+        twin = np.where(up >= 0, 2 * self.left[up] + 1 - asked, -1)
+        larger = known & ((self.n[asked] > self.n[twin]) | ((self.n[asked] == self.n[twin]) & (asked > twin)))
+        mine, theirs, smaller = asked[~larger], asked[larger], twin[larger]
+        spot = np.full(len(self.gain), -2)
+        spot[theirs] = -1
+        spot[mine] = np.arange(len(mine))
+        extra = smaller[spot[smaller] == -2]
+        spot[extra] = len(mine) + np.arange(len(extra))
+        here = spot.take(at.take(rows))
+        kept = np.flatnonzero(here >= -1)
+        rows, here = rows.take(kept), here.take(kept)
+        some = np.flatnonzero(here >= 0)
+        counted = rows.take(some)
+        found = self.cells.count(place.take(counted), here.take(some), g.take(counted), len(mine) + len(extra))
+        if not len(theirs):
+            return mine, rows, found
+        before, other, sums = last[0][up[larger]], spot[smaller], []
+        for k, (old, new) in enumerate(zip(last[1], found)):
+            one = self.cells.room((k, self.level % 2), len(asked))
+            one[: len(mine)] = new[: len(mine)]
+            np.take(old, before, axis=0, out=one[len(mine) :], mode="clip")
+            one[len(mine) :] -= new[other]
+            sums.append(one)
+        return np.concatenate([mine, theirs]), rows, sums
+
+    def _learn(self, asked: np.ndarray, sums: list[np.ndarray], together: int = 32) -> None:
+        """The best split of each node: of the splits with enough rows on both sides, the one with the best two leaves."""
+        starts = self.cells.starts[1:]
+        for i in range(0, len(asked), together):
+            nodes = asked[i : i + together]
+            owner = self.tree[nodes]
+            sure, soft = self.sure[owner][:, None], self.soft[owner][:, None]
+            whole, left = [], []
+            for one in sums:
+                one = one[i : i + together].copy()
+                whole.append(one[:, : self.cells.first].sum(axis=1))
+                one[:, starts] -= whole[-1][:, None]  # sums start anew at each column
+                left.append(np.cumsum(one, axis=1, out=one))
+            if len(sums) == 1:
+                whole.insert(0, np.rint(whole[0]))
+                whole[1] = whole[1] - whole[0]
+                left.insert(0, np.rint(left[0]))
+                left[1] -= left[0]
+            (whole_n, whole_g), (left_n, left_g) = whole, left
+            right_n, right_g = whole_n[:, None] - left_n, whole_g[:, None] - left_g
+            fair = np.minimum(left_n, right_n) >= self.least[owner][:, None]
+            fair &= self.drawn[owner]
+            parts = self._score(left_g.copy(), left_n + sure, soft)
+            right_n += sure
+            parts += self._score(right_g, right_n, soft)
+            parts *= fair
+            best = parts.argmax(axis=1)
+            every = np.arange(len(nodes))
+            top = parts[every, best]
+            gain = top - self._score(whole_g.copy(), whole_n + sure[:, 0], soft[:, 0])
+            gain[gain <= 1e-9 * top] = 0.0
+            self.n[nodes], self.g[nodes], self.gain[nodes] = whole_n, whole_g, gain
+            self.feature[nodes], self.cut[nodes] = self.cells.feature[best], self.cells.bin[best]
+            self.left_n[nodes], self.left_g[nodes] = left_n[every, best], left_g[every, best]
+
+    @staticmethod
+    def _score(g: np.ndarray, size: np.ndarray, soft: np.ndarray) -> np.ndarray:
+        """As in ``Tree``, in place of ``g``."""
+        np.abs(g, out=g)
+        g -= soft
+        np.maximum(g, 0.0, out=g)
+        g *= g
+        g /= size
+        return g
+
+    def _chosen(self) -> np.ndarray:
+        chosen = self.gain > 0
+        over = (self.leaves > 0) & (np.bincount(self.tree[chosen], minlength=len(self.models)) >= np.maximum(self.leaves, 1))
+        for tree in np.flatnonzero(over):
+            chosen[self.tree == tree] = False
+            queue, leaves = [(-self.gain[tree], int(tree))], 1
+            while queue and leaves < self.leaves[tree]:
+                gain, node = heapq.heappop(queue)
+                if gain >= 0:
+                    break
+                chosen[node] = True
+                leaves += 1
+                if self.split[node]:
+                    for child in (int(self.left[node]), int(self.left[node]) + 1):
+                        heapq.heappush(queue, (-self.gain[child], child))
+        return chosen
+
+    def _expand(self, asked: np.ndarray) -> np.ndarray:
+        """The children of the nodes that are split now."""
+        going = np.zeros(len(self.models), bool)
+        going[self.tree[asked]] = True
+        todo = np.flatnonzero(self._chosen() & ~self.split & going[self.tree])
+        k, size = len(todo), len(self.gain)
+        children = size + np.arange(2 * k)
+        self.split[todo] = True
+        self.left[todo] = children[::2]
+        whole, numbers = np.full((6, 2 * k), -1), np.zeros((3, 2 * k))
+        whole[3], whole[4], whole[5] = np.repeat(todo, 2), np.repeat(self.depth[todo] + 1, 2), np.repeat(self.tree[todo], 2)
+        numbers[0, ::2], numbers[0, 1::2] = self.left_n[todo], self.n[todo] - self.left_n[todo]
+        numbers[1, ::2], numbers[1, 1::2] = self.left_g[todo], self.g[todo] - self.left_g[todo]
+        self._hold(np.concatenate([self._whole, whole], 1), np.concatenate([self._numbers, numbers], 1), np.concatenate([self._left, np.zeros((2, 2 * k))], 1))
+        self.split = np.concatenate([self.split, np.zeros(2 * k, bool)])
+        return children
+
+    def finish(self, steps: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Leaf weight of each node; for nodes whose split better leaves have pushed out, the node that
+        stands for them; and which nodes stay split."""
+        chosen = self._chosen() & self.split
+        kept = np.arange(len(self.gain))
+        out = self.split & ~chosen
+        if out.any():
+            for i in np.flatnonzero(self.parent >= 0):
+                up = self.parent[i]
+                kept[i] = i if kept[up] == up and chosen[up] else kept[up]
+        rate, alpha = (np.array([getattr(p, k) for p in self.models], float)[self.tree] for k in ("learning_rate", "reg_alpha"))
+        size = np.maximum(np.abs(self.g * _UNIT * steps[self.tree]) - alpha, 0.0)
+        return -rate * np.sign(self.g) * size / (self.n + self.sure[self.tree]), kept, chosen
+
+    def grown(self, tree: int, value: np.ndarray, kept: np.ndarray, chosen: np.ndarray) -> Grown:
+        alive = (self.tree == tree) & (kept == np.arange(len(kept)))
+        place, chosen = np.cumsum(alive) - 1, chosen[alive]
+        feature, left = np.where(chosen, self.feature[alive], -1), np.where(chosen, place[self.left[alive]], -1)
+        return Grown(feature, self.cut[alive], left, value[alive], None)
+
+
+def _grow_in_task(models: Sequence[Boost], scales: Sequence[Scale], bins: np.ndarray, ids: np.ndarray, ys: Sequence[np.ndarray], train: np.ndarray, trees: bool) -> list[Progress]:
+    """Models from the same rows in memory, a round of all of them at a time."""
+    size, width = bins.shape
+    cells = Cells(bins)
+    done = [Progress(p) for p in models]
+    fit, val = [np.flatnonzero(train & ~np.isnan(y)) for y in ys], [np.flatnonzero(~train & ~np.isnan(y)) for y in ys]
+    pred = np.repeat(np.array([s.base for s in scales])[:, None], size, axis=1)
+    y, steps = np.stack(ys), np.array([s.reach for s in scales]) / GRID
+    flat, place = bins.ravel(), np.tile(np.arange(size), len(models))
+    active, turn = np.arange(len(models)), 0
+    while len(active):
+        mine = [models[k] for k in active]
+        g = residuals(pred[active], y[active], steps[active][:, None]).ravel() / _UNIT
+        shared: dict[int, np.ndarray] = {}
+        rows = []
+        for i, k in enumerate(active):
+            p, here = models[k], fit[k]
+            if p.subsample < 1:
+                if p.seed not in shared:
+                    shared[p.seed] = _uniform(ids, p.seed, 2, turn)
+                here = here[shared[p.seed][here] < p.subsample]
+            rows.append(here + i * size)
+        grove = Grove(mine, steps[active], [drawn_columns(p, turn, width) for p in mine], cells)
+        at = grove.grow(flat, place[: g.size], width, np.concatenate(rows), g)
+        value, kept, chosen = grove.finish(steps[active])
+        pred[active] += value[kept[at]].reshape(len(active), size)
+        turn, going = turn + 1, []
+        for i, k in enumerate(active):
+            p, known = models[k], val[k]
+            needed = len(known) and (p.patience is not None or turn == p.rounds)
+            loss = _loss(pred[k, known] - y[k, known], scales[k]) / len(known) if needed else None
+            if done[k].add(grove.grown(i, value, kept, chosen) if trees else None, loss):
+                going.append(k)
+        active = np.array(going, int)
+    return done
 
 
 # Data
@@ -455,13 +690,15 @@ def _matrix(rows: dict[str, list], width: int) -> tuple[np.ndarray, ...]:
 def _fit_in_tasks(table: DataFrame, models: list[tuple[int, Boost]], counts: dict, scales: dict, labels: list[str], width: int, trees: bool) -> DataFrame:
     """All models in one job: a task has the rows of a group and some of its models."""
     spark = table.sparkSession
-    slots = 16 * max(1, spark.sparkContext.defaultParallelism)
+    slots = max(1, spark.sparkContext.defaultParallelism)
     cost = {k: counts[p.group] * p.rounds * p.max_depth for k, p in models}
     whole, tasks = sum(cost.values()), []
     for group in sorted({p.group for _, p in models}):
         mine = sorted((m for m in models if m[1].group == group), key=lambda m: -cost[m[0]])
-        parts = min(len(mine), max(1, round(slots * sum(cost[k] for k, _ in mine) / whole)))
-        tasks += [(group, mine[i::parts]) for i in range(parts)]
+        share = sum(cost[k] for k, _ in mine) / whole
+        beside = min(SIDE, max(1, SIDE_ROWS // counts[group]))  # models of about equal rounds grow side by side
+        parts = min(len(mine), max(1, round(slots * share), min(round(16 * slots * share), -(-len(mine) // beside))))
+        tasks += [(group, mine[len(mine) * i // parts : len(mine) * (i + 1) // parts]) for i in range(parts)]
     tasks.sort(key=lambda t: -sum(cost[k] for k, _ in t[1]))  # long tasks start first
     dealt = spark.createDataFrame([(g, i) for i, (g, _) in enumerate(tasks)], "group int, task int")
 
@@ -475,11 +712,13 @@ def _fit_in_tasks(table: DataFrame, models: list[tuple[int, Boost]], counts: dic
         mine = tasks[rows.pop("task")[0]][1]
         bins, ids, train, y = _matrix(rows, width)
         del rows
-        keys = bins + (np.arange(width, dtype=np.int32) * MAX_BINS)[None, :]
-        for model, p in mine:
-            scale = scales[p.group, p.label]
-            done = _grow_in_task(p, scale, bins, keys, ids, y[:, labels.index(p.label)], train)
-            yield pa.RecordBatch.from_pylist([_row(model, done, scale, trees)], schema=_ARROW)
+        per = max(1, SIDE_ROWS // len(bins))
+        for i in range(0, len(mine), per):
+            some = [p for _, p in mine[i : i + per]]
+            found = [scales[p.group, p.label] for p in some]
+            done = _grow_in_task(some, found, bins, ids, [y[:, labels.index(p.label)] for p in some], train, trees)
+            for (model, _), one, scale in zip(mine[i : i + per], done, found):
+                yield pa.RecordBatch.from_pylist([_row(model, one, scale, trees)], schema=_ARROW)
 
     # As many rows as tasks: a proven bound.
     copies = table.join(F.broadcast(dealt), "group").drop("group")

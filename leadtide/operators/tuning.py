@@ -21,7 +21,7 @@ from leadtide.config import (
 from leadtide.operators.blocks import BLOCK_ROWS, lay_out
 from leadtide.operators.features import build_features
 from leadtide.operators.boosting import Boost, boost
-from leadtide.operators.models import horizons_by_rows
+from leadtide.operators.models import horizons_by_rows, side_by_side
 from leadtide.operators.report import mean_over_folds
 from leadtide.operators.scaling import scale_per_group
 from leadtide.operators.splits import assign_folds, check_no_leak
@@ -196,14 +196,15 @@ def search_trees(
 
     With ``patience`` each fit stops early on the validation part; without it the rounds are drawn
     like the other parameters (``n_estimators`` in ``ranges``). ``num_leaves`` in ``ranges`` grows the
-    best leaf first. All trials, folds and horizons are fitted together; a score per fit comes back.
+    best leaf first. All trials and folds of the horizons with the same rows are fitted together, and such
+    groups side by side; a score per fit comes back.
     """
     spark = df.sparkSession
     studies = spark.createDataFrame([(h,) for h in horizons], "horizon int")
     trials = draw_trees(studies, n_trials, seed, ["horizon"], ranges)
     drawn = [r.asDict() for r in trials.collect()]  # horizons * n_trials parameter sets
-    scores = []
-    for group in horizons_by_rows(df.where(F.col("split") != "test"), horizons):
+
+    def fitted(group: list[int]) -> list[tuple]:
         labels = [target_name(h) for h in group]
         ready, columns = fold_features(df, spec, labels, gap, folds, at_most=at_most)
         data = ready.select(
@@ -213,7 +214,10 @@ def search_trees(
         parts = [r["fold"] for r in ready.select("fold").distinct().orderBy("fold").collect()]  # at most ``folds`` rows
         fits = [(t, f) for t in drawn if t["horizon"] in group for f in parts]
         models = boost(data, columns, [_tree_model(t, f, max_rounds, patience) for t, f in fits], trees=False)
-        scores += [(t["horizon"], t["trial"], int(f), m.rmse, m.best) for (t, f), m in zip(fits, models) if m and m.rmse is not None]
+        return [(t["horizon"], t["trial"], int(f), m.rmse, m.best) for (t, f), m in zip(fits, models) if m and m.rmse is not None]
+
+    groups = horizons_by_rows(df.where(F.col("split") != "test"), horizons)
+    scores = [s for found in side_by_side(spark, [lambda g=g: fitted(g) for g in groups]) for s in found]
     table = spark.createDataFrame(scores, "horizon int, trial int, fold int, rmse double, best_iteration int")
     return trials.join(mean_over_folds(table), ["horizon", "trial"])
 

@@ -143,3 +143,40 @@ def test_odd_tables(spark, table):
     assert model.base == 2.5 and set(model.value) == {0.0}
     hidden = table.withColumn("y", F.lit(None).cast("double"))
     assert boost(hidden, COLUMNS, [Boost("y")]) == [None]
+
+
+@pytest.mark.parametrize("slices", [1 << 12, 64])
+def test_models_of_a_task_grow_side_by_side(monkeypatch, slices):
+    """A round of all models is one pass, in groups below and above a slice; the splits are those of single trees."""
+    monkeypatch.setattr(boosting, "_SLICE", slices)
+    rng = np.random.default_rng(1)
+    bins = rng.integers(0, [40, 1, 5, 64], size=(300, 4)).astype(np.uint8)
+    y = bins[:, 0] / 10 + (bins[:, 3] > 30) * bins[:, 2] + rng.normal(size=300)
+    y[::17] = np.nan
+    train, ids, scale = np.arange(300) % 4 > 0, rng.integers(0, 1 << 60, 300), boosting.Scale(3.0, 12.0)
+    models = [
+        Boost("y", rounds=5 + k % 2, max_depth=k, num_leaves=[0, 4, 40][k % 3], least_rows=1 + 3 * (k % 2), subsample=1 - k / 20,
+              colsample=[1.0, 0.5][k % 2], reg_alpha=k / 3) for k in range(8)
+    ]
+    passes, grow = [], boosting.Grove.grow
+    monkeypatch.setattr(boosting.Grove, "grow", lambda self, *a: passes.append(len(self.models)) or grow(self, *a))
+    found = boosting._grow_in_task(models, [scale] * 8, bins, ids, [y] * 8, train, True)
+    assert passes == [8] * 5 + [4]
+    keys, step = bins + (np.arange(4, dtype=np.int32) * boosting.MAX_BINS)[None, :], scale.reach / boosting.GRID
+    fit = np.flatnonzero(train & ~np.isnan(y))
+    for p, done in zip(models, found):
+        pred = np.full(300, scale.base)
+        for turn, got in enumerate(done.trees):
+            tree = boosting.Tree(p, boosting.drawn_columns(p, turn, 4), 4, step)
+            rows, at = fit[boosting.drawn_rows(p, turn, ids[fit])], np.zeros(300, np.int64)
+            while len(tree.open):
+                tree.learn(*boosting.histogram(tree, at[rows], keys[np.ix_(rows, tree.columns)], boosting.residuals(pred[rows], y[rows], step)))
+                if not tree.expand():
+                    break
+                at = tree.moved(at, bins)
+            want = tree.finish()
+            pred += want.value[want.kept[at]]
+            inner = want.feature >= 0
+            assert np.array_equal(got.feature, want.feature) and np.array_equal(got.value, want.value)
+            assert np.array_equal(got.left, want.left) and np.array_equal(got.cut[inner], want.cut[inner])
+        assert done.turn == p.rounds and done.best == boosting._loss((pred - y)[~train & ~np.isnan(y)], scale) / (~train & ~np.isnan(y)).sum()
